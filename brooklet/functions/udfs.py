@@ -12,24 +12,25 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf, udtf
 
 from brooklet.functions.scalars import drop_trailing_empty
 
 
-@arrow_udf("int")
+@arrow_udf(T.IntegerType())
 def text_length(text: pa.Array) -> pa.Array:
     """Scalar function: characters of a string."""
     return pc.utf8_length(text)
 
 
-@arrow_udf("double")
+@arrow_udf(T.DoubleType())
 def price_total(price: pa.Array) -> float:
     """Aggregate function: the sum of a group."""
     return pc.sum(pc.cast(price, pa.float64())).as_py()
 
 
-@udtf(returnType="field string, length int")
+@udtf(returnType=T.StructType([T.StructField("field", T.StringType()), T.StructField("length", T.IntegerType())]))
 class FieldLengths:
     """Table function: the space-separated fields of a string and their lengths."""
 

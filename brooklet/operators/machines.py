@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brooklet.functions.scalars import epoch_ms
-from brooklet.operators.ordered import Count, Last, Ordered
+from brooklet.operators.ordered import Count, Last, Next, Ordered
 
 State = dict[str, Any]
 Emitted = list[tuple]
@@ -157,37 +157,42 @@ def replay(df: DataFrame, keys: list[str], order: list[str], ts: str, machine: M
 
     A row after a silence of ``idle_ms`` (longer than any timer) and a row with ``reset`` start a new piece.
     """
-    rows = Ordered(df.withColumn("__ms", epoch_ms(F.col(ts))), keys, order).scan(__before=Last("__ms"))
+    rows = Ordered(df.withColumn("__ms", epoch_ms(F.col(ts))), keys, order).scan(__before=Last("__ms"), __after=Next("__ms"))
     gap = F.col("__ms") - F.col("__before")
     quiet = (gap >= idle_ms) if machine.timer_first else (gap > idle_ms)
     cut = F.coalesce(quiet, F.lit(False))
     if reset is not None:
         cut = cut | F.coalesce(reset, F.lit(False))
     pieces = rows.scan(__piece=Count(cut)).result()
-    slim = pieces.select(*keys, "__piece", *order, "__ms", *[c for c in machine.needs if c not in (*keys, *order)])
+    slim = pieces.select(*keys, "__piece", *order, "__ms", "__after", *[c for c in machine.needs if c not in (*keys, *order)])
     sorted_rows = slim.repartition(*keys, "__piece").sortWithinPartitions(*keys, "__piece", *order)
     group = [*keys, "__piece"]
     out_schema = T.StructType([df.schema[k] for k in keys] + T.StructType.fromDDL(machine.emits).fields)
     names = out_schema.fieldNames()
-    use = [*group, "__ms", *machine.needs]
+    use = [*group, "__ms", "__after", *machine.needs]
+
+    def finish(key: tuple, state: State, until: int | None) -> Emitted:
+        # The row that cuts a piece off ends its timers: they fire before it or not at all.
+        return [key[:-1] + e for e in machine.advance(state, until, machine.timer_first)]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, state = None, machine.start()
+        current, state, until = None, machine.start(), None
         for batch in batches:
             out: list[tuple] = []
             columns = [batch[c].astype(object).where(batch[c].notna(), None) for c in use]
             for values in zip(*columns):
-                key, ms, rest = values[: len(group)], values[len(group)], values[len(group) + 1 :]
+                key, ms, after, rest = values[: len(group)], values[len(group)], values[len(group) + 1], values[len(group) + 2 :]
                 if key != current:
                     if current is not None:
-                        out.extend(current[:-1] + e for e in machine.advance(state, None, True))
+                        out.extend(finish(current, state, until))
                     current, state = key, machine.start()
+                until = None if after is None else int(after)
                 out.extend(key[:-1] + e for e in machine.advance(state, ms, machine.timer_first))
                 out.extend(key[:-1] + e for e in machine.row(state, ms, *rest))
             if out:
                 yield pd.DataFrame(out, columns=names)
         if current is not None:
-            last = [current[:-1] + e for e in machine.advance(state, None, True)]
+            last = finish(current, state, until)
             if last:
                 yield pd.DataFrame(last, columns=names)
 
