@@ -74,31 +74,31 @@ def with_resource(
     return df.mapInPandas(run, schema)
 
 
-def table_aggregate(
-    df: DataFrame,
-    keys: list[str],
-    partial: Callable[[pd.DataFrame], pd.DataFrame],
-    schema: str,
-    spread: int = 256,
-) -> DataFrame:
-    """Table aggregate function: ``partial`` maps the rows of a group to the few that still matter.
+def table_aggregate(df: DataFrame, keys: list[str], best: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """Table aggregate function: ``best`` keeps, per key, the few rows of a batch that still matter.
 
-    It must be mergeable: applied to its own results it gives the result of the whole group. It runs
-    on every Arrow batch before the shuffle, then on ``spread`` parts of each group, then once on what
-    is left, so no task sees a whole hot group.
+    It handles all keys of a batch at once and must be mergeable: applied to its own results it gives the
+    result of all rows. It runs on every Arrow batch before the shuffle; after it the survivors of a key
+    stream through one task in sorted order, and only those of the current key are held.
     """
-    columns = [f.split()[0] for f in schema.split(",")]
 
-    def per_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def reduce_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                groups = batch.groupby(keys, dropna=False, sort=False)
-                yield pd.concat([partial(g)[columns] for _, g in groups])
+                yield best(batch)
 
-    def per_part(pdf: pd.DataFrame) -> pd.DataFrame:
-        return partial(pdf[columns])[columns]
-
-    first = df.mapInPandas(per_batch, schema)
-    part = F.pmod(F.monotonically_increasing_id(), F.lit(spread)).alias("__part")
-    second = first.select("*", part).groupBy(*keys, "__part").applyInPandas(per_part, schema)
-    return second.groupBy(*keys).applyInPandas(per_part, schema)
+    def merge_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            if not len(batch):
+                continue
+            rows = best(batch if held is None else pd.concat([held, batch]))
+            last = batch[keys].iloc[-1]
+            open_key = ((rows[keys] == last) | (rows[keys].isna() & last.isna())).all(axis=1)
+            yield rows[~open_key]
+            held = rows[open_key]
+        if held is not None:
+            yield held
+
+    survivors = df.mapInPandas(reduce_batches, schema)
+    return survivors.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(merge_batches, schema)

@@ -70,7 +70,7 @@ def tumble_with_lateness(
     columns = [*keys, "w_start", "w_end", *arrival, ts, value]
     extra = [c for i, c in enumerate(columns) if c not in columns[:i]]
     in_time = tagged.where(~F.col("__gone")).select(*extra, "__late")
-    rows = Ordered(in_time, [*keys, "w_start"], arrival).scan(n=Count(), total=Sum(value), __next=Next("__late"))
+    rows = Ordered(in_time, [*keys, "w_start"], arrival, probe=with_window(df, ts, size_ms)).scan(n=Count(), total=Sum(value), __next=Next("__late"))
     fires = rows.result().where(F.col("__late") | F.coalesce("__next", F.lit(True)))
     fires = fires.withColumn("tag", F.when(F.col("__late"), F.lit("update")).otherwise(F.lit("fire")))
     gone = tagged.where("__gone").select(*extra).withColumns(

@@ -61,10 +61,13 @@ def window_join(
 
 
 def lookup(df: DataFrame, table: DataFrame, keys: dict[str, str], prefix: str = "") -> DataFrame:
-    """Complete each row from a keyed table (``keys``: column of ``df`` -> column of ``table``), null on a miss."""
+    """Complete each row from a keyed table (``keys``: column of ``df`` -> column of ``table``), null on a miss.
+
+    The table has one row per key, so a hot key is one-sided: AQE splits its partition and copies one row.
+    """
     back = {v: k for k, v in keys.items()}
     dim = table.select(*[F.col(c).alias(back.get(c, prefix + c)) for c in table.columns])
-    return salted_join(df, dim, list(keys), "left")
+    return df.join(dim, list(keys), "left")
 
 
 def lateral(df: DataFrame, call: Column | DataFrame, how: str = "inner") -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from brooklet.functions.scalars import epoch_ms
-from brooklet.operators.ordered import Count, Last, Next, Ordered
+from brooklet.operators.ordered import Count, Last, Next, Ordered, Scan
 
 State = dict[str, Any]
 Emitted = list[tuple]
@@ -152,12 +152,23 @@ class PairSum(Machine):
         return [(ms, "sum", n + other)]
 
 
-def replay(df: DataFrame, keys: list[str], order: list[str], ts: str, machine: Machine, reset: Column | None, idle_ms: int) -> DataFrame:
+def replay(
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    ts: str,
+    machine: Machine,
+    reset: Column | None,
+    idle_ms: int,
+    **scans: Scan,
+) -> DataFrame:
     """Run ``machine`` over every key in ``order``; its timers all fire at the end of the input.
 
     A row after a silence of ``idle_ms`` (longer than any timer) and a row with ``reset`` start a new piece.
+    ``scans`` are extra columns the machine or ``reset`` needs from the neighbouring rows.
     """
-    rows = Ordered(df.withColumn("__ms", epoch_ms(F.col(ts))), keys, order).scan(__before=Last("__ms"), __after=Next("__ms"))
+    timed = df.withColumn("__ms", epoch_ms(F.col(ts)))
+    rows = Ordered(timed, keys, order).scan(__before=Last("__ms"), __after=Next("__ms"), **scans)
     gap = F.col("__ms") - F.col("__before")
     quiet = (gap >= idle_ms) if machine.timer_first else (gap > idle_ms)
     cut = F.coalesce(quiet, F.lit(False))
@@ -201,8 +212,9 @@ def replay(df: DataFrame, keys: list[str], order: list[str], ts: str, machine: M
 
 def rising_alert(df: DataFrame, keys: list[str], order: list[str], ts: str, value: str, interval_ms: int) -> DataFrame:
     """See :class:`RisingAlert`. A fall resets the state, so pieces are runs that do not fall."""
-    rows = Ordered(df.withColumn("value", F.col(value).cast("double")), keys, order).scan(prev=Last("value")).result()
-    return replay(rows, keys, order, ts, RisingAlert(interval_ms), F.col("value") < F.col("prev"), interval_ms)
+    rows = df.withColumn("value", F.col(value).cast("double"))
+    falls = F.col("value") < F.col("prev")
+    return replay(rows, keys, order, ts, RisingAlert(interval_ms), falls, interval_ms, prev=Last("value"))
 
 
 def fail_burst(

@@ -5,15 +5,16 @@ A running aggregate, a "previous row" or a "next matching row" is normally a win
 third of the input holds up the whole job. :class:`Ordered` keeps the window, but cuts the keys that
 are too big into consecutive slices of the order column and carries a small summary across the cuts:
 
-1. *probe*: ``groupBy(key)`` row counts (map-side combined); only keys with more rows than
-   ``spark.brooklet.rowsPerSlice`` stay. At most ``rows / rowsPerSlice`` keys can, which bounds the
-   broadcast (200,000 keys for 10**12 rows at the default).
+1. *probe*: ``groupBy(key)`` row counts (map-side combined) when the scan is set up; only keys with
+   more rows than ``spark.brooklet.rowsPerSlice`` stay. If there is none, the plan is the plain window
+   and the rest of this list does not happen. At most ``rows / rowsPerSlice`` keys can stay, which
+   bounds the broadcasts below (200,000 keys for 10**12 rows at the default).
 2. *slice*: rows of such a key get a slice number from their position between the key's first and
    last row; all other rows are in slice 0 of their key.
 3. *scan*: one shuffle on (key, slice), one sort, ordinary window functions inside the slice.
 4. *carry*: the sliced keys only are aggregated per (key, slice), a window over those few rows gives
    what comes before or after a slice, and a broadcast join hands it back (at most twice the bound
-   of step 1). Without a hot key AQE sees an empty broadcast and drops the step.
+   of step 1).
 
 Several scans on one :class:`Ordered` share the shuffle and the sort.
 """
@@ -79,6 +80,10 @@ class Scan:
     def local(self, fr: Frame) -> Column:
         raise NotImplementedError
 
+    def whole(self, fr: Frame) -> Column:
+        """The column for a key that is not cut."""
+        return self.local(fr)
+
     def partial(self, fr: Frame) -> Column:
         raise NotImplementedError
 
@@ -120,6 +125,9 @@ class Count(Sum):
     def combine(self, local, carry):
         return F.coalesce(carry, F.lit(0)) + F.coalesce(local, F.lit(0))
 
+    def whole(self, fr):
+        return F.coalesce(self.local(fr), F.lit(0))
+
 
 class Max(Scan):
     agg, pick = staticmethod(F.max), staticmethod(F.greatest)
@@ -168,6 +176,9 @@ class Last(Scan):
     def combine(self, local, carry):
         return F.coalesce(local, carry).getField("v")
 
+    def whole(self, fr):
+        return self.local(fr).getField("v")
+
 
 class Next(Last):
     """``payload`` of the first later row for which ``where`` holds."""
@@ -218,7 +229,7 @@ class Ordered:
 
     ``order`` names ascending columns that together are unique within a key. ``slice_on`` is the
     order column hot keys are cut on (the first one by default): it should spread evenly.
-    ``probe`` may name a cheaper DataFrame with the same keys and positions, e.g. the bare input.
+    ``probe`` may name a cheaper DataFrame with at least the same rows per key, e.g. the bare input.
     """
 
     def __init__(
@@ -241,8 +252,12 @@ class Ordered:
             slices = F.ceil(n / F.lit(float(limit)))
             return F.floor((own - lo) * slices / (hi - lo + 1)).cast("long")
 
+        self.sliced = False
         if self.keys:
             hot = probe.groupBy(*self.keys).agg(*stats).where(F.col("__n") > limit)
+            if hot.isEmpty():
+                self.df = df
+                return
             names = [f"__k{i}" for i in range(len(self.keys))]
             hot = hot.select(*[F.col(k).alias(n) for k, n in zip(self.keys, names)], "__n", "__lo", "__hi")
             joined = df.join(
@@ -254,15 +269,17 @@ class Ordered:
                 F.coalesce(slice_of(F.col("__n"), F.col("__lo"), F.col("__hi")), F.lit(0)).alias(_SLICE),
             )
         else:
-            one = probe.agg(F.struct(*stats).alias("s")).scalar()
-            self.df = df.withColumn(_HOT, F.coalesce(one["__n"] > limit, F.lit(False))).withColumn(
-                _SLICE,
-                F.when(F.col(_HOT), slice_of(one["__n"], one["__lo"], one["__hi"])).otherwise(F.lit(0)).cast("long"),
-            )
+            n, lo, hi = probe.agg(*stats).first()
+            if n <= limit:
+                self.df = df
+                return
+            self.df = df.withColumns({_HOT: F.lit(True), _SLICE: slice_of(F.lit(float(n)), F.lit(lo), F.lit(hi))})
+        self.sliced = True
 
     def _frame(self) -> Frame:
-        rows = Window.partitionBy(*self.keys, _HOT, _SLICE)
-        slices = Window.partitionBy(*self.keys, _HOT)
+        cut = [_HOT, _SLICE] if self.sliced else []
+        rows = Window.partitionBy(*(self.keys + cut or [F.lit(0)]))
+        slices = Window.partitionBy(*self.keys, *cut[:1])
         return Frame(
             self.order,
             rows.orderBy(*self.order),
@@ -276,6 +293,8 @@ class Ordered:
         fr, df = self._frame(), self.df
         by = [*self.keys, _HOT, _SLICE]
         plain = [c for c in df.columns if c not in scans]
+        if not self.sliced:
+            return self._with(df.select(*plain, *[s.whole(fr).alias(n) for n, s in scans.items()]))
         rows = df.select(*plain, *[s.local(fr).alias(f"__l_{n}") for n, s in scans.items()])
         cut = df.where(F.col(_HOT)).groupBy(*by).agg(*[s.partial(fr).alias(f"__p_{n}") for n, s in scans.items()])
         names = [f"__c{i}" for i in range(len(by))]
@@ -298,5 +317,5 @@ class Ordered:
 
     def _with(self, df: DataFrame) -> Ordered:
         twin = object.__new__(Ordered)
-        twin.keys, twin.order, twin.df = self.keys, self.order, df
+        twin.keys, twin.order, twin.sliced, twin.df = self.keys, self.order, self.sliced, df
         return twin

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from brooklet.functions.scalars import epoch_ms
 from brooklet.operators.ordered import Count, Last, Max, Min, Next, Ordered, Sum, position
+from brooklet.session import saved
 
 
 def _both(left: DataFrame, right: DataFrame, keys: list[str], order: list[str], ts: str, value: str) -> DataFrame:
@@ -49,7 +50,8 @@ def pair_sum_accumulate(
     )
     rows = rows.scan(__base=Last("__cum", where=F.col("__match")))
     held = F.col("__cum") - F.coalesce(F.col("__base"), F.lit(0.0))
-    state = rows.with_columns(__held=held).result()
+    # Used three times below, so it is written once.
+    state = saved(rows.with_columns(__held=held).result(), "pair-state")
 
     sums = state.where("__match").select(*keys, "at_ms", F.lit("sum").alias("kind"), (F.col("n") + F.col("__held")).alias("total"))
 

@@ -78,9 +78,9 @@ def agg_chain_reduce_maxby(t):
     return rows.select("event_id", "user_id", "best_event_type", "best_k")
 
 
-@query("agg_custom_acc", "SELECT user_id, round(sum(value) / count(value), 6) AS mean FROM events GROUP BY 1")
+@query("agg_custom_acc", "SELECT user_id, round(sum(value), 2) / count(value) AS mean FROM events GROUP BY 1")
 def agg_custom_acc(t):
-    return t.events.groupBy("user_id").agg(F.round(F.sum("value") / F.count("value"), 6).alias("mean"))
+    return t.events.groupBy("user_id").agg((F.round(F.sum("value"), 2) / F.count("value")).alias("mean"))
 
 
 @query("agg_udaf_sum", "SELECT p_brand, round(sum(p_retailprice), 4) AS total FROM part GROUP BY 1")

@@ -57,8 +57,8 @@ def udaf_registered(t):
 )
 def udtaf(t):
     def two_largest(pdf: pd.DataFrame) -> pd.DataFrame:
-        best = pdf.nlargest(2, "value")
-        return best.assign(rank=range(1, len(best) + 1))
+        top = pdf.sort_values("value", ascending=False, kind="stable").groupby("user_id", sort=False).head(2)
+        return top.assign(rank=top.groupby("user_id", sort=False).cumcount() + 1)
 
     rows = t.events.select("user_id", "value", F.lit(0).cast("long").alias("rank"))
     return udfs.table_aggregate(rows, ["user_id"], two_largest, "user_id long, value double, rank long")
@@ -82,9 +82,9 @@ def fn_reduce(t):
     return reduced.select("event_id", "event_type", F.round("value", 4).alias("value"))
 
 
-@query("fn_aggregate", "SELECT event_type, count(value) AS n, round(avg(value), 6) AS mean FROM events GROUP BY 1")
+@query("fn_aggregate", "SELECT event_type, count(value) AS n, round(sum(value), 2) / count(value) AS mean FROM events GROUP BY 1")
 def fn_aggregate(t):
-    return t.events.groupBy("event_type").agg(F.count("value").alias("n"), F.round(F.avg("value"), 6).alias("mean"))
+    return t.events.groupBy("event_type").agg(F.count("value").alias("n"), (F.round(F.sum("value"), 2) / F.count("value")).alias("mean"))
 
 
 @query("fn_window", f"SELECT user_id, w_start, w_end, round(max(value), 4) AS high FROM {windowed(6 * HOUR)} GROUP BY ALL")

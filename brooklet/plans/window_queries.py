@@ -57,10 +57,10 @@ def win_tumble_acc_string(t):
 
 @query(
     "win_tumble_table",
-    f"SELECT event_type, make_timestamp(w_start * 1000) AS window_start, make_timestamp(w_end * 1000) AS window_end, count(*) AS n, round(avg(value), 6) AS mean FROM {windowed(HOUR)} GROUP BY ALL",
+    f"SELECT event_type, make_timestamp(w_start * 1000) AS window_start, make_timestamp(w_end * 1000) AS window_end, count(*) AS n, round(sum(value), 2) / count(value) AS mean FROM {windowed(HOUR)} GROUP BY ALL",
 )
 def win_tumble_table(t):
-    return win.tumble(t.events, "ts", "1 hour", ["event_type"], F.count("*").alias("n"), F.round(F.avg("value"), 6).alias("mean"))
+    return win.tumble(t.events, "ts", "1 hour", ["event_type"], F.count("*").alias("n"), (F.round(F.sum("value"), 2) / F.count("value")).alias("mean"))
 
 
 @query(
@@ -80,22 +80,22 @@ def win_all_tumble(t):
 
 @query(
     "win_count_sliding",
-    """SELECT user_id, rn AS fire, round(mean, 6) AS mean FROM (SELECT user_id, row_number() OVER w AS rn,
-       avg(value) OVER (w ROWS BETWEEN 9 PRECEDING AND CURRENT ROW) AS mean FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) WHERE rn % 2 = 0""",
+    """SELECT user_id, rn AS fire, mean FROM (SELECT user_id, row_number() OVER w AS rn,
+       round(sum(value) OVER (w ROWS BETWEEN 9 PRECEDING AND CURRENT ROW), 2) / least(rn, 10) AS mean FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) WHERE rn % 2 = 0""",
 )
 def win_count_sliding(t):
     rows = t.events.select("user_id", "event_id", "value")
-    return win.count_slide(rows, ["user_id"], ORDER, 10, 2, F.round(F.avg("value"), 6).alias("mean"))
+    return win.count_slide(rows, ["user_id"], ORDER, 10, 2, (F.round(F.sum("value"), 2) / F.count("value")).alias("mean"))
 
 
 @query(
     "win_over_rows",
-    """SELECT event_id, user_id, count(*) OVER w AS n, round(avg(value) OVER w, 6) AS mean FROM events
+    """SELECT event_id, user_id, count(*) OVER w AS n, round(avg(value) OVER w, 4) AS mean FROM events
        WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN 2 PRECEDING AND CURRENT ROW)""",
 )
 def win_over_rows(t):
     rows = win.over_rows(t.events.select("user_id", "event_id", "value"), ["user_id"], ORDER, 2, "value")
-    return rows.select("event_id", "user_id", "n", F.round("mean", 6).alias("mean"))
+    return rows.select("event_id", "user_id", "n", F.round("mean", 4).alias("mean"))
 
 
 @query(
@@ -120,8 +120,8 @@ def win_state_stuck_total(t):
 @query(
     "win_state_list",
     f"""SELECT DISTINCT 'key:' || user_id || ',time:' || w_start || '--' || w_end AS label,
-          string_agg(CAST(event_id AS VARCHAR), ' ') OVER (PARTITION BY user_id ORDER BY w_start RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS history
-        FROM (SELECT * FROM {windowed(DAY)} ORDER BY user_id, event_id)""",
+          string_agg(CAST(event_id AS VARCHAR), ' ' ORDER BY event_id) OVER (PARTITION BY user_id ORDER BY w_start RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS history
+        FROM {windowed(DAY)}""",
 )
 def win_state_list(t):
     rows = win.value_list(t.events, "ts", DAY, ["user_id"], ORDER, "event_id")

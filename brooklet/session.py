@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -35,3 +36,11 @@ def shared_folder(spark: SparkSession) -> str:
         folder = tempfile.mkdtemp(prefix="brooklet-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
+
+
+def saved(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a new table in the shared folder and read back: it is computed once, however often
+    the result is used, and a lost executor costs a read, not a recomputation."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
