@@ -55,7 +55,7 @@ class MachineProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch, state, out = _sorted(rows, self.order), self._load(), []
-        for ms, *values in batch[["__ms", *self.machine.needs]].itertuples(index=False, name=None):
+        for ms, *values in batch[["row_ms", *self.machine.needs]].itertuples(index=False, name=None):
             out.extend(self.machine.advance(state, int(ms), self.machine.timer_first))
             out.extend(self.machine.row(state, int(ms), *[_plain(v) for v in values]))
         self._store(state)
@@ -75,7 +75,7 @@ class MachineProcessor(StatefulProcessor):
 def run_machine(df: DataFrame, keys: list[str], order: list[str], ts: str, machine: Machine, delay_ms: int = 0) -> DataFrame:
     """Streaming form of ``machines.replay``. Timers fire once the stream's watermark has passed them."""
     timed = df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, f"{delay_ms} milliseconds")
-    rows = timed.withColumn("__ms", epoch_ms(F.col(ts)))
+    rows = timed.withColumn("row_ms", epoch_ms(F.col(ts)))
     schema = T.StructType([df.schema[k] for k in keys] + T.StructType.fromDDL(machine.emits).fields)
     return rows.groupBy(*keys).transformWithStateInPandas(
         MachineProcessor(machine, order, schema.fieldNames()), outputStructType=schema, outputMode="append", timeMode="EventTime"
@@ -94,7 +94,7 @@ class LateTagger(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues):
         mark = timerValues.getCurrentWatermarkInMs()
         for batch in rows:
-            end = batch["__ms"] if self.size is None else batch["__ms"] - batch["__ms"] % self.size + self.size
+            end = batch["row_ms"] if self.size is None else batch["row_ms"] - batch["row_ms"] % self.size + self.size
             limit = end < mark if self.size is None else end <= mark
             tag = limit.map({True: "late", False: "normal"}) if mark >= 0 else "normal"
             yield batch.assign(tag=tag)[self.names]
@@ -107,7 +107,7 @@ def tag_late(df: DataFrame, ts: str, delay_ms: int, keys: list[str], size_ms: in
     """Side output for late rows of a stream: ``tag`` is ``late`` behind the watermark (``size_ms``: behind the
     end of the row's window), else ``normal``. Processing-time mode keeps the rows Spark would drop."""
     timed = df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, f"{delay_ms} milliseconds")
-    rows = timed.withColumn("__ms", epoch_ms(F.col(ts)))
+    rows = timed.withColumn("row_ms", epoch_ms(F.col(ts)))
     schema = T.StructType([*timed.schema.fields, T.StructField("tag", T.StringType())])
     return rows.groupBy(*keys).transformWithStateInPandas(
         LateTagger(schema.fieldNames(), size_ms), outputStructType=schema, outputMode="append", timeMode="ProcessingTime"
