@@ -59,6 +59,7 @@ def match(df: DataFrame, keys: list[str], order: list[str], ts: str, pattern: Pa
 
     Result: the keys, ``outcome`` (``matched``, or ``timeout`` for a start that was still open when
     ``within`` ran out or the input ended) and one struct of ``columns`` per step, null where not reached.
+    A condition that compares with the start row may use ``columns`` only.
     """
     first, later = pattern.steps[0], pattern.steps[1:]
     kept = [*dict.fromkeys([*columns, ts])]
@@ -73,6 +74,8 @@ def match(df: DataFrame, keys: list[str], order: list[str], ts: str, pattern: Pa
     for i in range(len(later), 0, -1):
         step = later[i - 1]
         inside = [F.struct(*kept).alias("row")]
+        if step.strict and not step.uses_start:
+            inside.append(F.coalesce(step.condition(at_row), F.lit(False)).alias("ok"))
         if link is not None:
             inside.append(F.col(link).alias("rest"))
         where = None if step.strict else step.condition(at_row)
@@ -93,7 +96,7 @@ def match(df: DataFrame, keys: list[str], order: list[str], ts: str, pattern: Pa
             ended = ended | F.coalesce(epoch_ms(row[ts]) - start_ms >= pattern.within_ms, F.lit(False))
         ok = F.lit(True)
         if step.strict:
-            ok = step.condition(here, at_row) if step.uses_start else step.condition(here)
+            ok = F.coalesce(step.condition(here, at_row), F.lit(False)) if step.uses_start else path["ok"]
             ok = F.coalesce(ok, F.lit(False))
         verdict = F.when(ended, F.lit("timeout")).when(~ok, F.lit("killed"))
         outcome = verdict if outcome is None else F.coalesce(outcome, verdict)

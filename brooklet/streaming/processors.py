@@ -105,7 +105,8 @@ class LateTagger(StatefulProcessor):
 
 def tag_late(df: DataFrame, ts: str, delay_ms: int, keys: list[str], size_ms: int | None = None) -> DataFrame:
     """Side output for late rows of a stream: ``tag`` is ``late`` behind the watermark (``size_ms``: behind the
-    end of the row's window), else ``normal``. Processing-time mode keeps the rows Spark would drop."""
+    end of the row's window), else ``normal``. Processing-time mode keeps the rows Spark would drop; such a
+    query has no last batch, so start it with a processing-time trigger, not ``availableNow``."""
     timed = df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, f"{delay_ms} milliseconds")
     rows = timed.withColumn("row_ms", epoch_ms(F.col(ts)))
     schema = T.StructType([*timed.schema.fields, T.StructField("tag", T.StringType())])

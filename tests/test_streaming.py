@@ -1,5 +1,7 @@
 """Streaming forms against the batch forms on the same rows, delivered as several files in time order."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -110,7 +112,13 @@ def test_late_rows_are_tagged_not_dropped(spark, events, tmp_path):
     stream = spark.readStream.schema(data.schema).option("maxFilesPerTrigger", 1).parquet(folder)
     tagged = processors.tag_late(stream, "ts", 1000, ["user_id"])
     out = str(tmp_path / "out")
-    write_stream(tagged, tagged_files(out + "/rows", ["late", "normal"]), out + "/checkpoint").awaitTermination()
+    # Processing-time mode never runs out of batches: wait for the rows, then stop.
+    query = write_stream(tagged, tagged_files(out + "/rows", ["late", "normal"]), out + "/checkpoint", processingTime="500 milliseconds")
+    deadline, seen = time.time() + 60, 0
+    while seen <= data.count() and time.time() < deadline:
+        time.sleep(1)
+        seen = sum(p["numInputRows"] for p in query.recentProgress)
+    query.stop()
     got = read_batches(spark, out + "/rows")
     assert got.count() == data.count() + 1
     assert rows(got.where("tag = 'late'"), "event_id") == rows(data.where(F.col("event_id") <= middle), "event_id")
