@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brooklet.functions.scalars import drop_trailing_empty
+from brooklet.functions.scalars import space_split
 
 
 def split_fields(df: DataFrame, line: str, sep: str, schema: str | T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -41,7 +41,7 @@ def words(df: DataFrame, line: str, keep: tuple[str, ...] = (), skip_blank: bool
     """One row per space-separated word. Trailing empty words are dropped, inner ones kept."""
     if skip_blank:
         df = df.where(F.length(F.trim(F.col(line))) > 0)
-    return df.select(*keep, F.explode(drop_trailing_empty(F.split(F.col(line), " ", -1))).alias(out))
+    return df.select(*keep, F.explode(space_split(F.col(line))).alias(out))
 
 
 def cdc_rows(

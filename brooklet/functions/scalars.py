@@ -8,17 +8,18 @@ from pyspark.sql import functions as F
 
 def java_hash(text: Column) -> Column:
     """32-bit string hash ``h = 31 * h + unit`` over UTF-16 units, as a signed int."""
-    wrap = F.lit(4294967296)
+    low32 = F.lit(4294967295)
 
     def step(h: Column, ch: Column) -> Column:
         cp = F.ascii(ch).cast("long")
-        one = (h * 31 + cp) % wrap
+        plus = lambda base, unit: (base * 31 + unit).bitwiseAND(low32)
+        # A character beyond the basic plane is two units, a high and a low surrogate.
         over = cp - 65536
-        high, low = F.lit(55296) + F.shiftright(over, 10), F.lit(56320) + over % 1024
-        return F.when(cp < 65536, one).otherwise((((h * 31 + high) % wrap) * 31 + low) % wrap)
+        pair = plus(plus(h, F.shiftright(over, 10) + 55296), over.bitwiseAND(F.lit(1023)) + 56320)
+        return F.when(cp < 65536, plus(h, cp)).otherwise(pair)
 
-    unsigned = F.aggregate(F.filter(F.split(text, ""), lambda c: c != ""), F.lit(0).cast("long"), step)
-    return F.when(unsigned >= 2147483648, unsigned - wrap).otherwise(unsigned).cast("int")
+    unsigned = F.aggregate(F.split(text, ""), F.lit(0).cast("long"), step)
+    return F.when(unsigned > 2147483647, unsigned - 4294967296).otherwise(unsigned).cast("int")
 
 
 def key_partition(key: Column, partitions: int) -> Column:
@@ -57,8 +58,8 @@ def range_label(start_ms: Column, end_ms: Column) -> Column:
     return F.concat(start_ms.cast("string"), F.lit("--"), end_ms.cast("string"))
 
 
-def drop_trailing_empty(parts: Column) -> Column:
-    """Remove the empty strings at the end of a split; leading and inner ones stay."""
-    kept = F.array_max(F.transform(parts, lambda p, i: F.when(p != "", i + 1)))
-    # A blank line still gives one empty field; a line of separators gives none.
-    return F.when(F.size(parts) == 1, parts).otherwise(F.slice(parts, 1, F.coalesce(kept, F.lit(0))))
+def space_split(text: Column) -> Column:
+    """Split on single spaces. Empty strings at the end are dropped, inner ones kept; a blank text of no
+    characters is one empty string, one of spaces is none."""
+    body = F.rtrim(text)
+    return F.when((text != "") & (body == ""), F.array().cast("array<string>")).otherwise(F.split(body, " ", -1))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import arrow_udf, udtf
 
-from brooklet.functions.scalars import drop_trailing_empty
+from brooklet.functions.scalars import space_split
 
 
 @arrow_udf(T.IntegerType())
@@ -49,7 +49,7 @@ def register_all(spark: SparkSession) -> None:
 
 def field_lengths(df: DataFrame, text: str, keep: tuple[str, ...], outer: bool = False) -> DataFrame:
     """Native form of :class:`FieldLengths`; ``outer`` keeps rows without a field (nulls)."""
-    fields = F.filter(drop_trailing_empty(F.split(F.col(text), " ", -1)), lambda f: f != "")
+    fields = F.array_remove(space_split(F.col(text)), "")
     explode = F.explode_outer if outer else F.explode
     return df.select(*keep, explode(fields).alias("field")).withColumn("length", F.length("field"))
 

@@ -9,7 +9,6 @@ from brooklet.functions.udfs import field_lengths
 from brooklet.operators import joins, machines, pairs, rules
 from brooklet.plans.order_enrich import enrich_orders
 from brooklet.plans.registry import DAY, HOUR, query
-from brooklet.session import saved
 
 HALF_DAY = 12 * HOUR
 
@@ -141,7 +140,6 @@ def order_streams(t):
 )
 def order_enrich(t):
     details, mains, table = order_streams(t)
-    details, mains = saved(details, "detail-log"), saved(mains, "main-log")
     rows = enrich_orders(details, mains, table, ["arrived", "line", "l_partkey", "l_suppkey"], ["arrived", "o_orderkey"])
     return rows.select("id", "sku", "supplier", "change", "via", "total_money", "status")
 

@@ -11,6 +11,7 @@ from brooklet.sinks import documents, files, log
 from brooklet.sinks.jdbc import latest_per_key
 from brooklet.sources import files as src
 from brooklet.sources.generators import shape
+from brooklet.sources.jdbc import as_field_maps
 from brooklet.sources.log import decode_log
 from brooklet.streaming.exactly_once import batch_files, read_batches, write_stream
 
@@ -154,6 +155,15 @@ def src_log_records(t):
     return decode_log(records, "k int", topics=["view", "click"], start_offsets=starts)
 
 
+@query(
+    "src_jdbc_dynamic",
+    "SELECT concat_ws(';', 's_acctbal=' || s_acctbal, 's_name=' || s_name, 's_nationkey=' || s_nationkey, 's_suppkey=' || s_suppkey) AS cells FROM supplier",
+)
+def src_jdbc_dynamic(t):
+    """The row shape of the reader that learns its columns at run time, on a table at hand."""
+    return wide_text(as_field_maps(t.supplier, "cols"))
+
+
 @query("sink_row_file", "SELECT 'Reading(' || event_id || ',' || event_type || ',' || value || ')' AS value FROM events WHERE value >= 60")
 def sink_row_file(t):
     path = t.fresh_path("rows")
