@@ -65,18 +65,23 @@ def tumble_with_lateness(
     lateness fires the window again) or ``late`` (dropped by the window; ``n`` and ``total`` are null).
     ``n`` and ``total`` are the count and sum of the window at that moment.
     """
-    tagged = split_window_late(df, ts, arrival, delay_ms, size_ms).withColumn("__gone", _late_for_window(lateness_ms))
-    tagged = tagged.withColumn("__late", F.col("tag") == "late")
-    columns = [*keys, "w_start", "w_end", *arrival, ts, value]
-    extra = [c for i, c in enumerate(columns) if c not in columns[:i]]
-    in_time = tagged.where(~F.col("__gone")).select(*extra, "__late")
-    rows = Ordered(in_time, [*keys, "w_start"], arrival, probe=with_window(df, ts, size_ms)).scan(n=Count(), total=Sum(value), __next=Next("__late"))
-    fires = rows.result().where(F.col("__late") | F.coalesce("__next", F.lit(True)))
-    fires = fires.withColumn("tag", F.when(F.col("__late"), F.lit("update")).otherwise(F.lit("fire")))
-    gone = tagged.where("__gone").select(*extra).withColumns(
-        {"n": F.lit(None).cast("long"), "total": F.lit(None).cast("double"), "tag": F.lit("late")}
+    columns = dict.fromkeys([*keys, "w_start", "w_end", *arrival, ts, value])
+    rows = split_window_late(df, ts, arrival, delay_ms, size_ms).select(
+        *columns, (F.col("tag") == "late").alias("__late"), _late_for_window(lateness_ms).alias("__gone")
+    )
+    # The watermark only grows: in arrival order a window has rows on time, then late ones, then lost ones.
+    kept = F.when(~F.col("__gone"), F.col(value))
+    scanned = Ordered(rows, [*keys, "w_start"], arrival, probe=with_window(df, ts, size_ms)).scan(
+        n=Count(~F.col("__gone")), total=Sum(kept), __next=Next("__late")
+    )
+    fires = scanned.result().where(F.col("__late") | F.coalesce("__next", F.lit(True)))
+    tag = F.when(F.col("__gone"), F.lit("late")).when(F.col("__late"), F.lit("update")).otherwise(F.lit("fire"))
+    return fires.select(
+        *columns,
+        F.when(~F.col("__gone"), F.col("n")).alias("n"),
+        F.when(~F.col("__gone"), F.col("total")).alias("total"),
+        tag.alias("tag"),
     )
-    return fires.drop("__late", "__next").unionByName(gone)
 
 
 def split_late_at_fire(df: DataFrame, ts: str, arrival: list[str], delay_ms: int, size_ms: int) -> DataFrame:

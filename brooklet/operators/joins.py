@@ -5,29 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.operators.ordered import rows_per_slice
+from brooklet.operators.ordered import broadcast_if_small, count_slices, rows_per_slice
 from brooklet.operators.windows import with_window
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
     """Equi-join (``inner`` or ``left``) that spreads the hot keys of ``left``.
 
-    Keys with more than ``spark.brooklet.rowsPerSlice`` left rows are spread over enough salts to get
-    below it; only their right rows are copied, once per salt. There are at most ``left rows /
-    rowsPerSlice`` such keys, which bounds the broadcast. All other keys join as they are.
+    A probe counts the left rows per key. Keys with more than ``spark.brooklet.rowsPerSlice`` of them are
+    spread over enough salts to get below it; only their right rows are copied, once per salt. All other
+    keys join as they are, and without a hot key this is a plain join.
     """
     limit = rows_per_slice(left)
     names = [f"__k{i}" for i in range(len(on))]
-    hot = left.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("__n"))
-    hot = hot.where(F.col("__n") > limit).select(
-        *[F.col(c).alias(n) for c, n in zip(on, names)], F.ceil(F.col("__n") / limit).cast("int").alias("__salts")
+    hot = left.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit)
+    salts = count_slices(hot, limit)
+    if not salts:
+        return left.join(right, on, how)
+    hot = broadcast_if_small(
+        hot.select(*[F.col(c).alias(n) for c, n in zip(on, names)], F.ceil(F.col("__n") / limit).cast("int").alias("__salts")), salts
     )
 
     def with_salts(df: DataFrame) -> DataFrame:
         match = F.lit(True)
         for c, n in zip(on, names):
             match = match & (df[c] == hot[n])
-        return df.join(F.broadcast(hot), match, "left").select(*[df[c] for c in df.columns], "__salts")
+        return df.join(hot, match, "left").select(*[df[c] for c in df.columns], "__salts")
 
     spread = F.pmod(F.xxhash64(*left.columns), F.col("__salts"))
     salted = with_salts(left).withColumn("__salt", F.coalesce(spread, F.lit(0)).cast("int")).drop("__salts")

@@ -7,14 +7,14 @@ are too big into consecutive slices of the order column and carries a small summ
 
 1. *probe*: ``groupBy(key)`` row counts (map-side combined) when the scan is set up; only keys with
    more rows than ``spark.brooklet.rowsPerSlice`` stay. If there is none, the plan is the plain window
-   and the rest of this list does not happen. At most ``rows / rowsPerSlice`` keys can stay, which
-   bounds the broadcasts below (200,000 keys for 10**12 rows at the default).
+   and the rest of this list does not happen. At most ``rows / rowsPerSlice`` keys can stay (200,000
+   for 10**12 rows at the default). The probe also counts them and their slices: the two small tables
+   below are broadcast up to ``BROADCAST_ROWS`` rows and shuffled beyond.
 2. *slice*: rows of such a key get a slice number from their position between the key's first and
    last row; all other rows are in slice 0 of their key.
 3. *scan*: one shuffle on (key, slice), one sort, ordinary window functions inside the slice.
 4. *carry*: the sliced keys only are aggregated per (key, slice), a window over those few rows gives
-   what comes before or after a slice, and a broadcast join hands it back (at most twice the bound
-   of step 1).
+   what comes before or after a slice, and a join hands it back.
 
 Several scans on one :class:`Ordered` share the shuffle and the sort.
 """
@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ROWS_PER_SLICE = 5_000_000
+BROADCAST_ROWS = 1_000_000
 ROWS_PER_SLICE_CONF = "spark.brooklet.rowsPerSlice"
 
 _SLICE, _HOT = "__slice", "__hot"
@@ -58,6 +59,15 @@ def null_safe(left: list[Column], right: list[Column]) -> Column:
     return cond
 
 
+def count_slices(hot: DataFrame, limit: int) -> int:
+    """Slices of the hot keys ``(..., __n)`` together; no fewer than there are keys."""
+    return hot.agg(F.sum(F.ceil(F.col("__n") / limit))).first()[0] or 0
+
+
+def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(df) if rows <= BROADCAST_ROWS else df
+
+
 @dataclass(frozen=True)
 class Frame:
     """The windows a scan works with: inside a slice (both directions) and across slices."""
@@ -252,16 +262,17 @@ class Ordered:
             slices = F.ceil(n / F.lit(float(limit)))
             return F.floor((own - lo) * slices / (hi - lo + 1)).cast("long")
 
-        self.sliced = False
+        self.sliced, self.slices = False, 0
         if self.keys:
             hot = probe.groupBy(*self.keys).agg(*stats).where(F.col("__n") > limit)
-            if hot.isEmpty():
+            self.slices = count_slices(hot, limit)
+            if not self.slices:
                 self.df = df
                 return
             names = [f"__k{i}" for i in range(len(self.keys))]
             hot = hot.select(*[F.col(k).alias(n) for k, n in zip(self.keys, names)], "__n", "__lo", "__hi")
             joined = df.join(
-                F.broadcast(hot), null_safe([df[k] for k in self.keys], [hot[n] for n in names]), "left"
+                broadcast_if_small(hot, self.slices), null_safe([df[k] for k in self.keys], [hot[n] for n in names]), "left"
             )
             self.df = joined.select(
                 *[df[c] for c in df.columns],
@@ -273,6 +284,7 @@ class Ordered:
             if n <= limit:
                 self.df = df
                 return
+            self.slices = -(-n // limit)
             self.df = df.withColumns({_HOT: F.lit(True), _SLICE: slice_of(F.lit(float(n)), F.lit(lo), F.lit(hi))})
         self.sliced = True
 
@@ -303,7 +315,7 @@ class Ordered:
             *[s.carry(fr, F.col(f"__p_{n}")).alias(f"__c_{n}") for n, s in scans.items()],
         )
         if all(s.broadcast_carry for s in scans.values()):
-            carry = F.broadcast(carry)
+            carry = broadcast_if_small(carry, self.slices)
         joined = rows.join(carry, null_safe([rows[c] for c in by], [carry[n] for n in names]), "left")
         out = [s.combine(F.col(f"__l_{n}"), F.col(f"__c_{n}")).alias(n) for n, s in scans.items()]
         return self._with(joined.select(*[rows[c] for c in plain], *out))
@@ -317,5 +329,6 @@ class Ordered:
 
     def _with(self, df: DataFrame) -> Ordered:
         twin = object.__new__(Ordered)
-        twin.keys, twin.order, twin.sliced, twin.df = self.keys, self.order, self.sliced, df
+        twin.keys, twin.order, twin.df = self.keys, self.order, df
+        twin.sliced, twin.slices = self.sliced, self.slices
         return twin

@@ -88,7 +88,9 @@ def order_streams(t):
     """Detail and order change envelopes; the order comes first, its lines every two seconds after it."""
     change = lambda c, codes: F.element_at(F.create_map(*[F.lit(x) for kv in codes.items() for x in kv]), F.col(c))
     born = F.col("o_orderdate").cast("timestamp")
-    lines = t.lineitem.join(t.orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
+    # Both sides grow with the data, so they meet in a shuffle by order, as they would at full size.
+    dates = t.orders.select("o_orderkey", "o_orderdate").hint("merge")
+    lines = t.lineitem.join(dates, F.col("l_orderkey") == F.col("o_orderkey"))
     at = epoch_ms(born) + F.col("l_linenumber") * 2000
     detail = F.struct(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"),

@@ -5,12 +5,14 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from brooklet.operators import aggregates, eventtime, machines, stateful, windows
+from brooklet.operators import aggregates, eventtime, joins, machines, rules, stateful, windows
+from brooklet.operators.patterns import Pattern, match
 from brooklet.session import shared_folder
 from brooklet.sinks.files import stream_rows
 from brooklet.sources.files import read_lines, watch_csv, watch_dir
 from brooklet.sources.generators import generate_stream
 from brooklet.streaming import processors
+from brooklet.streaming.joins import followed_by_stream, window_join_stream
 from brooklet.streaming.exactly_once import batch_files, latest_state, read_batches, tagged_files, write_stream
 from tests.conftest import rows
 
@@ -161,3 +163,41 @@ def test_generated_stream(spark, tmp_path):
 
 def test_shared_folder_follows_the_session(spark):
     assert shared_folder(spark) == shared_folder(spark)
+
+
+def sides(df):
+    left = df.where("event_type IN ('view', 'flush')").select("user_id", F.col("event_id").alias("l_id"), F.col("ts").alias("l_ts"))
+    right = df.where("event_type IN ('purchase', 'flush')").select("user_id", F.col("event_id").alias("r_id"), F.col("ts").alias("r_ts"))
+    return left, right
+
+
+def test_window_left_join(spark, feed, tmp_path):
+    data, stream = feed
+    got = run(spark, window_join_stream(*sides(stream()), ["user_id"], "l_ts", "r_ts", "1 day", 0, "left"), tmp_path)
+    want = joins.window_join(*sides(data), ["user_id"], "l_ts", "r_ts", 24 * HOUR, "left")
+    columns = ["user_id", "l_id", "r_id", "w_start"]
+    assert rows(got.where("user_id >= 0"), *columns) == rows(want, *columns)
+
+
+def test_followed_by_join_times_out(spark, feed, tmp_path):
+    data, stream = feed
+    got = run(spark, followed_by_stream(*sides(stream()), ["user_id"], "l_ts", "r_ts", "24 HOURS", 0), tmp_path)
+    is_type = lambda name: lambda row, *_: row("event_type") == name
+    pattern = Pattern.begin("a", is_type("view")).followed_by("b", is_type("purchase")).within(24 * HOUR)
+    want = match(data, ["user_id"], ["event_id"], "ts", pattern, ["event_id"])
+    first = got.where("user_id >= 0").groupBy("l_id").agg(F.min("r_id").alias("r_id"))
+    assert rows(first) == rows(want, "a.event_id", "b.event_id")
+
+
+def test_rules_are_read_again_for_every_batch(spark, tmp_path):
+    rules_path, out, folder = (str(tmp_path / n) for n in ("rules", "out", "in"))
+
+    def sink(batch, batch_id):
+        joined = rules.apply_rules_batch(batch, rules_path, F.col("d.id") % 2 == F.col("r.k"))
+        joined.select("d.id", "r.topic").write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
+
+    for step, topic in enumerate(("old", "new")):
+        spark.createDataFrame([(0, topic)], "k long, topic string").write.mode("overwrite").parquet(rules_path)
+        spark.range(step * 2, step * 2 + 2).write.mode("append").parquet(folder)
+        write_stream(spark.readStream.schema("id long").parquet(folder), sink, str(tmp_path / "cp")).awaitTermination()
+    assert rows(read_batches(spark, out), "id", "topic") == [(0, "old"), (1, None), (2, "new"), (3, None)]
