@@ -93,9 +93,9 @@ def test_bounce_window_decides(spark):
 
 
 def test_segments(spark):
-    words = "hai a a a a a f d d hai ad d s s d hainiu".split()
+    words = "go a a a a a f d d go ad d s s d stop".split()
     data = numbered(spark, [("k", w) for w in words], "k string, w string")
-    got = stateful.delimited_segments(data, ["k"], ["o"], "w", F.col("w").isin("hai", "hainiu"))
+    got = stateful.delimited_segments(data, ["k"], ["o"], "w", F.col("w").isin("go", "stop"))
     assert rows(got, "n", "text") == [(5, "ad d s s d"), (8, "a a a a a f d d")]
 
 
