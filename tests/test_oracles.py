@@ -9,7 +9,7 @@ import __spark_entry__ as entry
 from brooklet.operators.ordered import ROWS_PER_SLICE_CONF
 from tests.conftest import DATA
 
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+from brooklet.plans import ORACLES, QUERIES  # noqa: E402
 
 # Queries that scan keys in order, i.e. those whose plan changes when a key is hot.
 SCANNING = [
