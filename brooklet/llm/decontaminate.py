@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.llm.textkit import ALNUM, Words, byte_slices, lists, small_batches, words, with_fields
+from brooklet.llm.textkit import ALNUM, Words, byte_slices, fresh, lists, small_batches, small_enough, with_fields, words
 from brooklet.session import saved
 
 BLOCK_BYTES = 16 << 20  # item text that one block may hold
@@ -136,20 +136,22 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
     found = find_contamination(docs, benchmark, id, text, **options)
-    match = docs[id].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text]) == F.col("__key"))
+    own_id, own_key, hits = (fresh(docs, n) for n in ("hit_id", "hit_key", "hit_words"))
+    match = docs[id].eqNullSafe(F.col(own_id)) & F.xxhash64(docs[text]).eqNullSafe(F.col(own_key))
+    named = F.col(id).alias(own_id), F.col("key").alias(own_key)
     if remove == "documents":
-        gone = saved(found.where("contaminated").select(F.col(id).alias("__id"), F.col("key").alias("__key")).distinct(), "contaminated")
-        return docs.join(gone, match, "left_anti")
-    spans = saved(found.where(F.size("hit_words") > 0).select(F.col(id).alias("__id"), F.col("key").alias("__key"), F.col("hit_words").alias("__hits")).distinct(), "contaminated-spans")
-    joined = docs.join(spans, match, "left").drop("__id", "__key")
+        gone = saved(found.where("contaminated").select(*named).distinct(), "contaminated")
+        return docs.join(small_enough(gone), match, "left_anti")
+    spans = saved(found.where(F.size("hit_words") > 0).select(*named, F.col("hit_words").alias(hits)).distinct(), "contaminated-spans")
+    joined = docs.join(spans, match, "left").drop(own_id, own_key)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, hits = batch.column(text), batch.column("__hits").to_pylist()
+            texts, positions = batch.column(text), batch.column(hits).to_pylist()
             found = words(texts, ALNUM)
             raw = texts.to_pylist()
             base = 0
-            for i, h in enumerate(hits):
+            for i, h in enumerate(positions):
                 data = (raw[i] or "").encode()
                 if h:
                     at = np.array(h) + found.offsets[i]
@@ -162,6 +164,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, remove: str = "document
                     raw[i] = b"".join([*pieces, data[done:]]).decode()
                 base += len(data)
             at = batch.schema.get_field_index(text)
-            yield batch.set_column(at, text, pa.array(raw, texts.type)).drop_columns(["__hits"])
+            yield batch.set_column(at, text, pa.array(raw, texts.type)).drop_columns([hits])
 
     return joined.mapInArrow(cut, docs.schema)

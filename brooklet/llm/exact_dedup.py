@@ -17,6 +17,7 @@ import uuid
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brooklet.llm.textkit import fresh, small_enough
 from brooklet.session import saved, shared_folder
 
 FIRST_BITS = 6  # the directory starts with 64 buckets
@@ -86,5 +87,6 @@ def find_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", capacit
 
 def drop_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", capacity: int = 250_000) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns. See ``find_copies``."""
-    dropped = saved(find_copies(docs, id, text, capacity).where("NOT kept").select(F.col(id).alias("__dropped")), "dedup-dropped")
-    return docs.join(dropped, docs[id].eqNullSafe(F.col("__dropped")), "left_anti")
+    name = fresh(docs, "dropped")
+    dropped = saved(find_copies(docs, id, text, capacity).where("NOT kept").select(F.col(id).alias(name)), "dedup-dropped")
+    return docs.join(small_enough(dropped), docs[id].eqNullSafe(F.col(name)), "left_anti")

@@ -128,6 +128,13 @@ def train(docs: DataFrame, label: str = "lang", id: str = "doc_id", text: str =
     return LanguageModel(languages, (counts / counts.sum(axis=0)).astype(np.float32) if languages else counts.astype(np.float32))
 
 
+def _little_batches(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Few texts at a time: the trigram counts of each are a row of ``GRAMS`` cells."""
+    for piece in byte_slices(batch, column, 400_000):
+        for at in range(0, piece.num_rows, 128):
+            yield piece.slice(at, 128)
+
+
 def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
@@ -148,20 +155,34 @@ def predict(docs: DataFrame, model: LanguageModel, id: str = "doc_id", text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for whole in batches:
-            for piece in byte_slices(whole, "text", 400_000):
-                for at in range(0, piece.num_rows, 128):
-                    batch = piece.slice(at, 128)
-                    best, score, shares = model.predict(batch.column("text"))
-                    mixture = [[(model.languages[j], float(s[j])) for j in np.flatnonzero(s > 1e-4)] for s in shares]
-                    known = batch.column("text").is_valid().to_numpy(zero_copy_only=False) & (best >= 0)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            batch.column("id"),
-                            pa.array([model.languages[b] if k else UNKNOWN for b, k in zip(best, known)], pa.string()),
-                            pa.array(np.where(known, score, 0.0)),
-                            pa.array(mixture, pa.map_(pa.string(), pa.float32())),
-                        ],
-                        ["id", "lang_pred", "score", "mixture"],
-                    )
+            for batch in _little_batches(whole, "text"):
+                best, score, shares = model.predict(batch.column("text"))
+                mixture = [[(model.languages[j], float(s[j])) for j in np.flatnonzero(s > 1e-4)] for s in shares]
+                known = batch.column("text").is_valid().to_numpy(zero_copy_only=False) & (best >= 0)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column("id"),
+                        pa.array([model.languages[b] if k else UNKNOWN for b, k in zip(best, known)], pa.string()),
+                        pa.array(np.where(known, score, 0.0)),
+                        pa.array(mixture, pa.map_(pa.string(), pa.float32())),
+                    ],
+                    ["id", "lang_pred", "score", "mixture"],
+                )
 
     return rows.mapInArrow(run, schema).withColumnRenamed("id", id)
+
+
+def keep_identified(docs: DataFrame, model: LanguageModel, least: float, text: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose language is known and has a share of at least ``least``."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    shared = spark.sparkContext.broadcast(model)
+    lettered = docs.where(has_letter(F.col(text)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in _little_batches(whole, text):
+                best, score, _ = shared.value.predict(batch.column(text))
+                yield batch.filter(pa.array((best >= 0) & (score >= least)))
+
+    return lettered.mapInArrow(run, docs.schema)

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.llm import chat_format, decontaminate, exact_dedup, language, packing, secrets_scan, token_counts, token_store
+from brooklet.llm import chat_format, decontaminate, exact_dedup, language, near_dedup, packing, repeats, secrets_scan, token_counts, token_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -69,6 +69,30 @@ def chat_format_query(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+SQL_NEAR = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 1 THEN [w[1]] ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS g FROM w WHERE len(w) > 0
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), inter AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM inter JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)
+), both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(doc_id, other) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT r.doc_id, l.b FROM reach r JOIN both_ways l ON l.a = r.other
+)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, min(r.other) AS component_id, min(r.other) = d.doc_id AS kept
+FROM documents d LEFT JOIN n USING (doc_id) JOIN reach r USING (doc_id) GROUP BY d.doc_id, n.n
+"""
+
+
+@query("op2_near_dedup", SQL_NEAR)
+def near_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.link_near_copies(table(spark, folder, "documents"))
+
+
 @query("op3_token_counts")
 def token_counts_query(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
@@ -141,6 +165,11 @@ def secrets_query(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op7_repeats")
+def repeats_query(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.find_repeats(table(spark, folder, "documents"))
+
+
 @query("op8_packing")
 def packing_query(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.pack(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"))

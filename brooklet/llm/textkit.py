@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -34,9 +35,22 @@ def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
 
 
-def with_fields(df: DataFrame, more: str) -> str:
+def with_fields(df: DataFrame, *more: str) -> str:
     """The schema of ``df`` and further fields, as DDL."""
-    return ", ".join([*(f"`{name}` {kind}" for name, kind in df.dtypes), more])
+    return ", ".join([*(f"`{name}` {kind}" for name, kind in df.dtypes), *more])
+
+
+def small_enough(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """``df``, a written table of a few numbers a row, to be broadcast if it has at most ``rows`` rows; else it
+    is joined by a shuffle."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
 
 
 def raw_texts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
