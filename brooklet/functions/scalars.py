@@ -1,25 +1,34 @@
-"""Column functions. All are built from Spark's own expressions and stay inside the JVM."""
+"""Column functions. All but ``java_hash`` are built from Spark's own expressions and stay inside the JVM."""
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+@F.arrow_udf(T.IntegerType())
+def _hash_units(texts: pa.Array) -> pa.Array:
+    """All strings of a batch at once: their UTF-16 units one after the other, times powers of 31 modulo 2^32."""
+    strings = texts.to_pylist()
+    encoded = [(s or "").encode("utf-16-le", "surrogatepass") for s in strings]
+    sizes = np.array([len(e) // 2 for e in encoded], dtype=np.int64)
+    units = np.frombuffer(b"".join(encoded), dtype="<u2").astype(np.uint32)
+    ends = np.cumsum(sizes)
+    steps = np.full(int(sizes.max(initial=0)) + 1, 31, dtype=np.uint32)
+    steps[0] = 1
+    powers = np.cumprod(steps, dtype=np.uint32)
+    sums = np.zeros(len(units) + 1, dtype=np.uint32)
+    np.cumsum(units * powers[np.repeat(ends, sizes) - np.arange(len(units)) - 1], dtype=np.uint32, out=sums[1:])
+    hashes = (sums[ends] - sums[ends - sizes]).view(np.int32)
+    return pa.array(hashes, mask=texts.is_null().to_numpy(zero_copy_only=False))
 
 
 def java_hash(text: Column) -> Column:
     """32-bit string hash ``h = 31 * h + unit`` over UTF-16 units, as a signed int."""
-    low32 = F.lit(4294967295)
-
-    def step(h: Column, ch: Column) -> Column:
-        cp = F.ascii(ch).cast("long")
-        plus = lambda base, unit: (base * 31 + unit).bitwiseAND(low32)
-        # A character beyond the basic plane is two units, a high and a low surrogate.
-        over = cp - 65536
-        pair = plus(plus(h, F.shiftright(over, 10) + 55296), over.bitwiseAND(F.lit(1023)) + 56320)
-        return F.when(cp < 65536, plus(h, cp)).otherwise(pair)
-
-    unsigned = F.aggregate(F.split(text, ""), F.lit(0).cast("long"), step)
-    return F.when(unsigned > 2147483647, unsigned - 4294967296).otherwise(unsigned).cast("int")
+    return _hash_units(text.cast("string"))
 
 
 def key_partition(key: Column, partitions: int) -> Column:

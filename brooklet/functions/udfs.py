@@ -1,4 +1,5 @@
-"""User functions in each kind a job can plug in. Arrow batches throughout, never row by row.
+"""User functions in each kind a job can plug in. They take Arrow batches, but for the table function: Spark calls
+its ``eval`` for each row, since the fields found have to stay with their row.
 
 The operators themselves use native expressions; these are the hooks for a caller's own code.
 """

@@ -82,18 +82,19 @@ def running_distinct(df: DataFrame, keys: list[str], item: str, order: list[str]
 def lag_report(ends: DataFrame, committed: DataFrame) -> DataFrame:
     """Consumer lag per (group, topic): ``lag`` and ``status``.
 
-    ``ends(topic, partition, end_offset)``, ``committed(group, topic, partition, committed)``. The status
-    is ``lost`` if the number of partitions differs (then there is no lag), else ``ok``.
+    ``ends(topic, partition, end_offset)``, ``committed(group, topic, partition, committed)``. Each group that
+    committed anything is compared with all partitions of every topic. The status is ``lost`` if a partition
+    is missing on either side (then there is no lag), else ``ok``.
     """
-    sizes = ends.groupBy("topic").agg(F.count(F.lit(1)).alias("__parts"))
-    joined = committed.join(ends, ["topic", "partition"], "left")
-    per_group = joined.groupBy("group", "topic").agg(
-        F.count(F.lit(1)).alias("__seen"), F.sum(F.col("end_offset") - F.col("committed")).alias("lag")
-    )
-    lost = F.coalesce(F.col("__parts"), F.lit(0)) != F.col("__seen")
-    return per_group.join(sizes, "topic", "left").select(
+    groups = committed.select("group").distinct()
+    # Groups times partitions, both counted in offsets kept, not in messages; the constant key makes it an equi-join.
+    wanted = groups.withColumn("__all", F.lit(1)).join(ends.withColumn("__all", F.lit(1)), "__all").drop("__all")
+    both = wanted.join(committed, ["group", "topic", "partition"], "full")
+    lost = F.max(F.col("end_offset").isNull() | F.col("committed").isNull())
+    per_group = both.groupBy("group", "topic").agg(lost.alias("__lost"), F.sum(F.col("end_offset") - F.col("committed")).alias("lag"))
+    return per_group.select(
         "group",
         "topic",
-        F.when(~lost, F.col("lag")).alias("lag"),
-        F.when(lost, F.lit("lost")).otherwise(F.lit("ok")).alias("status"),
+        F.when(~F.col("__lost"), F.col("lag")).alias("lag"),
+        F.when(F.col("__lost"), F.lit("lost")).otherwise(F.lit("ok")).alias("status"),
     )

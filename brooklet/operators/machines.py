@@ -31,6 +31,7 @@ class Machine:
 
     emits = ""
     needs: list[str] = []
+    previous: dict[str, str] = {}  # of ``needs``, those that are a column's value in the key's previous row
     timer_first = True
 
     def start(self) -> State:
@@ -62,6 +63,7 @@ class RisingAlert(Machine):
     """
 
     emits, needs = "at_ms long, value double", ["value", "prev"]
+    previous = {"prev": "value"}
 
     def __init__(self, interval_ms: int):
         self.interval = interval_ms

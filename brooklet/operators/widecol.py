@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# The comparison names of the term grammar, spelt as the terms have them.
 _COMPARE = {
     "less": lambda a, b: a < b,
     "less_or_equal": lambda a, b: a <= b,
@@ -64,8 +65,9 @@ def scan(
 ) -> DataFrame:
     """Filtered scan; all conditions must hold. ``start`` is inclusive, ``stop`` exclusive.
 
-    The row-key range reaches the file statistics; cell conditions are evaluated on the map. Cells named
-    in ``equal`` are returned together with ``columns``.
+    The row-key range reaches the file statistics; cell conditions are evaluated on the map. Cells named in
+    ``equal`` and ``regexes`` belong to the projection like ``columns``: as soon as one of the three is given,
+    only the cells they name are returned.
     """
     if start is not None:
         df = df.where(F.col("rowkey") >= start)
@@ -76,9 +78,8 @@ def scan(
     for build, terms in ((equals, equal), (interval, intervals), (matches, regexes), (contains, containing)):
         for term in terms or []:
             df = df.where(build(term))
-    if columns:
-        df = project(df, [*columns, *[_named(t)[0] for t in equal or []]])
-    return df
+    named = [*(columns or []), *(_named(t)[0] for t in [*(equal or []), *(regexes or [])])]
+    return project(df, named) if named else df
 
 
 def project(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -107,7 +108,8 @@ def to_rows(df: DataFrame, rowkey: Column, cells: dict[str, Column]) -> DataFram
 def put(df: DataFrame, updates: DataFrame, order: list[str] | None = None) -> DataFrame:
     """Upsert cell by cell. ``updates`` has the same columns (and ``order`` if a row key may come twice:
     then the latest value of each cell wins)."""
-    cells = updates.select("rowkey", *(order or []), F.explode("cols").alias("k", "v"))
+    # Dealt by row key once: both groupings and the join below use that.
+    cells = updates.repartition("rowkey").select("rowkey", *(order or []), F.explode("cols").alias("k", "v"))
     latest = cells.groupBy("rowkey", "k").agg((F.max_by("v", F.struct(*order)) if order else F.max("v")).alias("v"))
     new = latest.groupBy("rowkey").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("__new"))
     merged = F.map_zip_with("cols", "__new", lambda k, old, fresh: F.coalesce(fresh, old))

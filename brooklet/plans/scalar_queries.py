@@ -177,7 +177,7 @@ def wc_rowkey_regex(t):
     return wide_text(widecol.scan(wide_customers(t), rowkey_regex="^f[ef].+$"))
 
 
-@query("wc_cell_equals", _wide("segment = 'BUILDING' AND balance IS NULL"))
+@query("wc_cell_equals", _wide("segment = 'BUILDING' AND balance IS NULL", "'money:segment=' || segment"))
 def wc_cell_equals(t):
     return wide_text(widecol.scan(wide_customers(t), equal=["money:segment:BUILDING", "money:balance:null"]))
 
@@ -195,14 +195,20 @@ def wc_cell_interval(t):
     return wide_text(widecol.scan(wide_customers(t), intervals=terms))
 
 
-@query("wc_cell_regex", _wide("regexp_matches(name, '7$') AND regexp_matches(nation, '^1')"))
+@query(
+    "wc_cell_regex",
+    _wide(
+        "regexp_matches(name, '7$') AND (balance IS NULL OR regexp_matches(balance, '^1'))",
+        "concat_ws(';', 'info:name=' || name, 'info:nation=' || nation, 'money:balance=' || balance)",
+    ),
+)
 def wc_cell_regex(t):
-    return wide_text(widecol.scan(wide_customers(t), regexes=["info:name:7$", "info:nation:^1"]))
+    return wide_text(widecol.scan(wide_customers(t), regexes=["info:name:7$", "money:balance:^1"], columns=["info:nation"]))
 
 
-@query("wc_cell_contains", _wide("contains(lower(segment), 'mach')"))
+@query("wc_cell_contains", _wide("contains(lower(segment), 'mach') AND (balance IS NULL OR contains(balance, '99'))"))
 def wc_cell_contains(t):
-    return wide_text(widecol.scan(wide_customers(t), containing=["money:segment:mAcH"]))
+    return wide_text(widecol.scan(wide_customers(t), containing=["money:segment:mAcH", "money:balance:99"]))
 
 
 @query("wc_project", _wide("true", "'info:name=' || name || ';info:nation=' || nation"))

@@ -89,10 +89,10 @@ def src_sequence(t):
 
 @query(
     "src_generator",
-    """SELECT event_id AS id, ['java', 'spark', 'scala', 'hive'][event_id % 4 + 1] AS value, event_id * 2000 AS ms FROM events""",
+    """SELECT event_id AS id, ['north', 'east', 'south', 'west'][event_id % 4 + 1] AS value, event_id * 2000 AS ms FROM events""",
 )
 def src_generator(t):
-    rows = shape(t.events.select(F.col("event_id").alias("id")), "cycle", gap_ms=2000, choices=["java", "spark", "scala", "hive"])
+    rows = shape(t.events.select(F.col("event_id").alias("id")), "cycle", gap_ms=2000, choices=["north", "east", "south", "west"])
     return rows.select("id", "value", epoch_ms(F.col("ts")).alias("ms"))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -30,17 +32,34 @@ def build_session(master: str | None = None, app: str = "brooklet", **conf: str)
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a new local one only if it names none."""
+    """The folder the cluster names in ``spark.checkpoint.dir``. Only a local session gets one of its own, which
+    goes when the process ends; on a cluster every executor would write to its own disk."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.conf.get("spark.master", "")
+        if not master.split("[")[0] == "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = tempfile.mkdtemp(prefix="brooklet-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
 
+_SAVED: list[str] = []
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to a new table in the shared folder and read back: it is computed once, however often
     the result is used, and a lost executor costs a read, not a recomputation."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _SAVED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard_saved(spark: SparkSession) -> None:
+    """Delete the tables that ``saved`` has written in this process; frames that read them end with that."""
+    hadoop = spark._jsc.hadoopConfiguration()
+    while _SAVED:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SAVED.pop())
+        path.getFileSystem(hadoop).delete(path, True)

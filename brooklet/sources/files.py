@@ -2,17 +2,32 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def read_lines(spark: SparkSession, path: str, charset: str | None = None) -> DataFrame:
-    """One row ``value STRING`` per text line, in the given character set (UTF-8 if none)."""
+    """One row ``value STRING`` per text line, blank lines too, in the given character set (UTF-8 if none).
+
+    The reader cuts at line-feed bytes, so a character set must write ASCII characters as single bytes.
+    """
+    lines = spark.read.text(path)
     if charset is None:
-        return spark.read.text(path)
-    # The text reader is UTF-8 only; a CSV of one column with no quote or separator is the same thing.
-    return spark.read.schema("value string").csv(path, encoding=charset, sep="\x01", quote="", escape="")
+        return lines
+    if charset.upper().replace("_", "-").startswith(("UTF-16", "UTF-32", "UCS")):
+        raise ValueError(f"{charset} does not keep ASCII bytes: lines cannot be split before decoding")
+    raw = F.col("value").cast("binary")
+    if charset.upper() in ("ISO-8859-1", "US-ASCII", "UTF-8"):
+        return lines.select(F.decode(raw, charset).alias("value"))
+
+    # Spark's own function knows no other character set.
+    @F.arrow_udf(T.StringType())
+    def decoded(batch: pa.Array) -> pa.Array:
+        return pa.array([b.decode(charset, "replace") for b in batch.to_pylist()], pa.string())
+
+    return lines.select(decoded(raw).alias("value"))
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: str | T.StructType, view: str | None = None, sep: str = ",") -> DataFrame:

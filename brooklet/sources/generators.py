@@ -24,7 +24,7 @@ def shape(ids: DataFrame, kind: str, seed: int = 0, gap_ms: int = 1000, choices:
     """
     ts = F.timestamp_millis(F.col("id") * gap_ms).alias("ts")
     if kind == "goods":
-        return ids.select("id", _pick(choices or ["sp", "sc", "hi", "hb"], seed).alias("type"), _uniform(100, 200, seed + 1).alias("n"), ts)
+        return ids.select("id", _pick(choices or ["tea", "rice", "salt", "oil"], seed).alias("type"), _uniform(100, 200, seed + 1).alias("n"), ts)
     if kind == "sensors":
         noise = _uniform(-5000, 5001, seed) / 1000.0
         tick = F.timestamp_millis(F.floor(F.col("id") / 10) * gap_ms).alias("ts")

@@ -44,6 +44,9 @@ class MachineProcessor(StatefulProcessor):
         return json.loads(self.state.get()[0]) if self.state.exists() else self.machine.start()
 
     def _store(self, state: dict) -> None:
+        if state == self.machine.start():
+            self.state.clear()
+            return
         self.state.update((json.dumps(state),))
         due = self.machine.due(state)
         if due is not None:
@@ -55,10 +58,14 @@ class MachineProcessor(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         batch, state, out = _sorted(rows, self.order), self._load(), []
+        for name, source in self.machine.previous.items():
+            values = [_plain(v) for v in batch[source]]
+            batch[name] = pd.Series([state.pop(f"last {source}", None), *values[:-1]], index=batch.index, dtype=object)
+            kept = {f"last {source}": values[-1]}
         for ms, *values in batch[["row_ms", *self.machine.needs]].itertuples(index=False, name=None):
             out.extend(self.machine.advance(state, int(ms), self.machine.timer_first))
             out.extend(self.machine.row(state, int(ms), *[_plain(v) for v in values]))
-        self._store(state)
+        self._store(state | kept if self.machine.previous else state)
         yield from self._frame(key, out)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
@@ -89,13 +96,14 @@ class LateTagger(StatefulProcessor):
         self.names, self.size = names, size_ms
 
     def init(self, handle):
-        self.seen = handle.getValueState("seen", "n long")
+        pass
 
     def handleInputRows(self, key, rows, timerValues):
         mark = timerValues.getCurrentWatermarkInMs()
         for batch in rows:
             end = batch["row_ms"] if self.size is None else batch["row_ms"] - batch["row_ms"] % self.size + self.size
-            limit = end < mark if self.size is None else end <= mark
+            # The replay's watermark is one millisecond behind the stream's.
+            limit = end < mark - 1 if self.size is None else end <= mark
             tag = limit.map({True: "late", False: "normal"}) if mark >= 0 else "normal"
             yield batch.assign(tag=tag)[self.names]
 
@@ -129,7 +137,7 @@ class DistinctCounter(StatefulProcessor):
         batch = _sorted(rows, self.order)
         users, clicks = self.totals.get() if self.totals.exists() else (0, 0)
         counted = []
-        for item in batch[self.item].astype(str):
+        for item in ("null" if (v := _plain(x)) is None else f"={v}" for x in batch[self.item]):
             if not self.items.containsKey((item,)):
                 self.items.updateValue((item,), (1,))
                 users += 1
@@ -185,29 +193,30 @@ def over_rows_stream(df: DataFrame, keys: list[str], order: list[str], preceding
 class PreviousValue(StatefulProcessor):
     """Emits a row when its value differs from the key's previous one."""
 
-    def __init__(self, value: str, order: list[str], names: list[str]):
-        self.value, self.order, self.names = value, order, names
+    def __init__(self, value: str, kind: str, order: list[str], names: list[str]):
+        self.value, self.kind, self.order, self.names = value, kind, order, names
 
     def init(self, handle):
-        self.last = handle.getValueState("last", "v string")
+        self.last = handle.getValueState("last", f"v {self.kind}")
 
     def handleInputRows(self, key, rows, timerValues):
         batch = _sorted(rows, self.order)
-        values = batch[self.value].astype(str)
-        before = values.shift(1)
-        before.iloc[0] = self.last.get()[0] if self.last.exists() else None
-        self.last.update((values.iloc[-1],))
-        hit = before.notna() & (before != values)
-        yield batch.assign(previous=before)[hit][self.names]
+        values = [_plain(v) for v in batch[self.value]]
+        before = [self.last.get()[0] if self.last.exists() else None, *values[:-1]]
+        self.last.update((values[-1],))
+        # Null differs from nothing: neither a null nor the row after it is a change.
+        hit = [b is not None and v is not None and b != v for b, v in zip(before, values)]
+        batch["previous"] = pd.Series(before, index=batch.index, dtype=object)
+        yield batch[hit][self.names]
 
     def close(self):
         pass
 
 
 def changed_value_stream(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
-    schema = T.StructType([*df.schema.fields, T.StructField("previous", T.StringType())])
+    schema = T.StructType([*df.schema.fields, T.StructField("previous", df.schema[value].dataType)])
     return df.groupBy(*keys).transformWithStateInPandas(
-        PreviousValue(value, order, schema.fieldNames()), outputStructType=schema, outputMode="append", timeMode="None"
+        PreviousValue(value, df.schema[value].dataType.simpleString(), order, schema.fieldNames()), outputStructType=schema, outputMode="append", timeMode="None"
     )
 
 

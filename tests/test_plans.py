@@ -4,12 +4,12 @@ import re
 
 import pytest
 
-import __spark_entry__ as entry
 from tests.conftest import DATA
 
-QUERIES = entry.queries()
+from brooklet.plans import QUERIES  # noqa: E402
+
 PYTHON = {"udf_scalar_inline", "udf_scalar_registered", "udtf_inline", "udtf_registered", "udaf_registered", "udtaf", "fn_rich",
-          "st_rising_alert", "st_login_fail_timer", "pair_sum_timeout"}
+          "st_rising_alert", "st_login_fail_timer", "pair_sum_timeout", "fn_java_hash", "sink_key_partition"}
 WRITES_FILES = {"src_dir_monitor", "src_socket_lines", "sink_exactly_once", "st_recovery", "src_text", "src_paced_file_replay", "src_csv_table",
                 "sink_row_file", "sink_csv_table", "sink_log_append"}
 

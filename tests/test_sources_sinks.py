@@ -1,7 +1,13 @@
 """Sources and sinks without a live service: options, statements and files."""
 
+import os
+
+import pytest
 from pyspark.sql import functions as F
 
+from brooklet.operators import widecol
+from brooklet.operators.aggregates import lag_report
+from brooklet.session import discard_saved, saved
 from brooklet.sinks import documents, jdbc, log
 from brooklet.sources.files import elements, key_range, read_csv_table, read_lines
 from brooklet.sources.generators import generate
@@ -47,6 +53,41 @@ def test_charset(spark, tmp_path):
     assert rows(read_lines(spark, str(tmp_path), "ISO-8859-1")) == [("zweite",), ('é;"ü, ß',)]
 
 
+@pytest.mark.parametrize("charset, first", [("ISO-8859-1", "é1"), ("GBK", "中1"), ("UTF-8", "é1")])
+def test_charset_keeps_every_line(spark, tmp_path, charset, first):
+    lines = [first, "", "   ", "x\x01y", "end"]
+    (tmp_path / "in.txt").write_bytes("\n".join(lines).encode(charset))
+    assert sorted(r.value for r in read_lines(spark, str(tmp_path), charset).collect()) == sorted(lines)
+
+
+def test_charset_that_cannot_be_split(spark, tmp_path):
+    with pytest.raises(ValueError, match="ASCII"):
+        read_lines(spark, str(tmp_path), "utf_16le")
+
+
+def test_saved_tables_are_discarded(spark):
+    kept = saved(spark.range(3).toDF("n"), "discard")
+    path = kept.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert kept.count() == 3 and os.path.isdir(path)
+    discard_saved(spark)
+    assert not os.path.exists(path)
+
+
+def test_lag_compares_all_partitions(spark):
+    ends = spark.createDataFrame([("t", 0, 10), ("t", 1, 100), ("u", 0, 5)], "topic string, partition int, end_offset long")
+    done = [("a", "t", 0, 4), ("a", "t", 2, 7), ("b", "t", 0, 9), ("b", "t", 1, 90), ("b", "u", 0, 5)]
+    committed = spark.createDataFrame(done, "`group` string, topic string, partition int, committed long")
+    assert rows(lag_report(ends, committed)) == [("a", "t", None, "lost"), ("a", "u", None, "lost"), ("b", "t", 11, "ok"), ("b", "u", 0, "ok")]
+
+
+def test_wide_column_conditions_name_the_projection(spark):
+    df = spark.createDataFrame([("r1", {"f:a": "x", "f:b": "y", "f:c": "z"}), ("r2", {"f:b": "y"})], "rowkey string, cols map<string,string>")
+    cells = lambda **terms: {r.rowkey: r.cols for r in widecol.scan(df, **terms).collect()}
+    assert cells(equal=["f:a:x"]) == {"r1": {"f:a": "x"}}
+    assert cells(regexes=["f:a:^x"], columns=["f:b"]) == {"r1": {"f:a": "x", "f:b": "y"}, "r2": {"f:b": "y"}}
+    assert cells(containing=["f:a:X"]) == {"r1": {"f:a": "x", "f:b": "y", "f:c": "z"}, "r2": {"f:b": "y"}}
+
+
 def test_csv_view(spark, tmp_path):
     (tmp_path / "t.csv").write_text("1,a\n2,b\n")
     read_csv_table(spark, str(tmp_path), "id int, name string", view="csv_view")

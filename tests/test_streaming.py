@@ -83,6 +83,23 @@ def test_changed_value(spark, feed, tmp_path):
     assert rows(got.where("user_id >= 0"), *columns) == rows(want, *columns)
 
 
+def test_changed_value_with_nulls(spark, tmp_path):
+    data = spark.createDataFrame([(1, 0, 5), (1, 1, None), (1, 2, 7), (1, 3, 8), (2, 4, None), (2, 5, 1)], "k int, o int, v int")
+    data.write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(data.schema).parquet(str(tmp_path / "in"))
+    got = run(spark, processors.changed_value_stream(stream, ["k"], ["o"], "v"), tmp_path)
+    assert rows(got, "k", "o", "v", "previous") == rows(stateful.changed_value(data, ["k"], ["o"], "v"), "k", "o", "v", "previous") == [(1, 3, 8, 7)]
+
+
+def test_rising_alert(spark, feed, tmp_path):
+    data, stream = feed
+    machine = machines.RisingAlert(6 * HOUR)
+    got = run(spark, processors.run_machine(stream(), ["user_id"], ["row_ms", "event_id"], "ts", machine), tmp_path)
+    want = machines.rising_alert(data, ["user_id"], ["event_id"], "ts", "value", 6 * HOUR)
+    columns = ["user_id", "at_ms", "value"]
+    assert rows(got.where("user_id >= 0"), *columns) == rows(want, *columns) != []
+
+
 def test_cumulative_windows(spark, feed, tmp_path):
     data, stream = feed
     got = run(spark, processors.cumulative_stream(stream(), "ts", "6 hours", ["user_id"]), tmp_path)
