@@ -24,7 +24,7 @@ NOT_BLANK[[0x20, *range(0x09, 0x0E)]] = False
 ALNUM = np.zeros(256, dtype=bool)
 ALNUM[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 _BASE, _GRAM_BASE = 0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93
 _BYTE_CODE = np.random.default_rng(20_240_229).integers(1, 2**63, 256, dtype=np.uint64)
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 
 from brooklet.llm.textkit import raw_texts
 
-MEMO_PIECES = 400_000
+MEMO_PIECES = 250_000
 
 _ASCII_SOLID = np.zeros(256, dtype=bool)
 _ASCII_SOLID[0x21:0x7F] = True
