@@ -2,13 +2,16 @@
 
 1. Texts with equal shingle sets are one class; its smallest id stands for it. Copies are never paired.
 2. Each class has a signature of MinHash values and a key per band. Classes that share a band key are a bucket.
-3. Star round: every member of a bucket is a candidate with the bucket's smallest id.
+3. Star round: every member of a bucket is a candidate with the bucket's centre, the member that shares
+   buckets with most others. The origin of a family of copies is in more and larger buckets than any copy, so
+   it is the centre wherever it occurs and its copies are connected with one comparison each.
 4. Candidates are compared batch by batch of the signature. After each batch the posterior of the similarity
    (uniform prior) is bounded: a pair whose probability to reach the threshold is below ``miss`` is pruned.
 5. Survivors are verified on their full sets. Links are joined to components by star contraction.
 6. Rest round: in buckets that still hold several components the remaining pairs of different components are
-   compared in blocks of bounded size, pruned, verified and joined. So every pair of a bucket is either
-   compared or already connected, and a bucket of copies of one text costs one comparison per member.
+   compared in blocks of bounded size, pruned, verified and joined; a pair that shares several buckets is given
+   out by the first of them. So every pair of a bucket is either compared or already connected, and a bucket
+   of copies of one text costs one comparison per member.
 """
 
 from __future__ import annotations
@@ -174,14 +177,14 @@ def components(links: DataFrame) -> DataFrame:
 def _rest(members: DataFrame, sigs: DataFrame, labels: DataFrame, how: MinHash) -> DataFrame:
     """Pairs of different components in the same bucket that the star round has not compared, pruned."""
     label = F.coalesce("label", F.col("id"))
-    labelled = members.join(labels, "id", "left").select("bucket", "id", label.alias("label"), "centre")
+    labelled = members.join(labels, "id", "left").select("bucket", "band", "id", label.alias("label"), "centre")
     open_ = labelled.where("id != centre").groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).where("low != high")
     blocks = F.ceil(F.col("size") / how.block).cast("int")
     open_ = saved(open_.select("bucket", blocks.alias("blocks")), "near-open")
     rows = labelled.where("id != centre").join(open_, "bucket")
     # A bucket of more than one block meets itself block by block.
     rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("bucket", "id", "label", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
+    rows = rows.select("bucket", "band", "id", "label", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
     rows = saved(rows, "near-rest")
     groups = max(64, rows.count() // 20_000)
     rows = rows.join(sigs.select("id", "sig"), "id")
@@ -189,7 +192,7 @@ def _rest(members: DataFrame, sigs: DataFrame, labels: DataFrame, how: MinHash)
 
     def run(table: pa.Table) -> pa.Table:
         table = table.sort_by([("bucket", "ascending")])
-        bucket, own, label = (table.column(c).to_numpy() for c in ("bucket", "own", "label"))
+        bucket, band, own, label = (table.column(c).to_numpy() for c in ("bucket", "band", "own", "label"))
         sig = _matrix(table.column("sig"), how.size)
         bounds = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]])
         first_i, first_j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
@@ -208,6 +211,9 @@ def _rest(members: DataFrame, sigs: DataFrame, labels: DataFrame, how: MinHash)
                     matches += (sig[x, first:last] == sig[y, first:last]).sum(axis=1)
                     alive = matches >= least
                     x, y, matches = x[alive], y[alive], matches[alive]
+                same_bands = (sig[x] == sig[y]).reshape(-1, how.bands, how.rows).all(axis=2)
+                first_seen = same_bands.argmax(axis=1) == band[low]
+                x, y = x[first_seen], y[first_seen]
                 found_a.append(x)
                 found_b.append(y)
         ids = table.column("id").combine_chunks()
@@ -238,9 +244,13 @@ def link_near_copies(docs: DataFrame, how: MinHash = MinHash(), id: str = "doc_i
     extra = saved(usable.join(several, ["k1", "k2"]).where("id != rep").select("id", "k1", "k2"), "near-copies")
     reps = table.where("n > 0 AND id IS NOT NULL").join(small_enough(extra), ["id", "k1", "k2"], "left_anti")
     sigs = reps.select("id", "sig")
-    keyed = reps.select("id", F.explode("bands").alias("bucket"))
-    buckets = saved(keyed.groupBy("bucket").agg(F.min("id").alias("centre"), F.count("*").alias("size")).where("size > 1").select("bucket", "centre"), "near-buckets")
-    members = saved(keyed.join(buckets, "bucket"), "near-members")
+    keyed = reps.select("id", F.posexplode("bands").alias("band", "bucket"))
+    sizes = saved(keyed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "near-sizes")
+    shared = saved(keyed.join(sizes, "bucket"), "near-shared")
+    known = saved(shared.groupBy("id").agg(F.sum("size").alias("company")), "near-company")
+    # Most company first, then the smallest id.
+    first = F.min(F.struct((-F.col("company")).alias("company"), "id"))["id"].alias("centre")
+    members = saved(shared.drop("size").join(saved(shared.join(known, "id").groupBy("bucket").agg(first), "near-centres"), "bucket"), "near-members")
     pairs = members.where("id != centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     links = saved(_verify(rows, saved(_prune(pairs, sigs, how), "near-pairs"), how), "near-links")
     labels = saved(components(links), "near-labels")
