@@ -86,9 +86,9 @@ def lag_report(ends: DataFrame, committed: DataFrame) -> DataFrame:
     committed anything is compared with all partitions of every topic. The status is ``lost`` if a partition
     is missing on either side (then there is no lag), else ``ok``.
     """
-    groups = committed.select("group").distinct()
-    # Groups times partitions, both counted in offsets kept, not in messages; the constant key makes it an equi-join.
-    wanted = groups.withColumn("__all", F.lit(1)).join(ends.withColumn("__all", F.lit(1)), "__all").drop("__all")
+    # The groups are a short list, however many messages and offsets there are.
+    groups = committed.agg(F.collect_set("group").alias("g")).scalar()
+    wanted = ends.select("*", F.explode(groups).alias("group"))
     both = wanted.join(committed, ["group", "topic", "partition"], "full")
     lost = F.max(F.col("end_offset").isNull() | F.col("committed").isNull())
     per_group = both.groupBy("group", "topic").agg(lost.alias("__lost"), F.sum(F.col("end_offset") - F.col("committed")).alias("lag"))

@@ -5,22 +5,27 @@ A running aggregate, a "previous row" or a "next matching row" is normally a win
 third of the input holds up the whole job. :class:`Ordered` keeps the window, but cuts the keys that
 are too big into consecutive slices of the order column and carries a small summary across the cuts:
 
-1. *probe*: ``groupBy(key)`` row counts (map-side combined) when the scan is set up; only keys with
-   more rows than ``spark.brooklet.rowsPerSlice`` stay. If there is none, the plan is the plain window
-   and the rest of this list does not happen. At most ``rows / rowsPerSlice`` keys can stay (200,000
-   for 10**12 rows at the default). The probe also counts them and their slices: the two small tables
-   below are broadcast up to ``BROADCAST_ROWS`` rows and shuffled beyond.
-2. *slice*: rows of such a key get a slice number from their position between the key's first and
-   last row; all other rows are in slice 0 of their key.
+1. *probe*: ``groupBy(key)`` row counts (map-side combined) when the scan is set up, once per input, keys
+   and order in a session; only keys with more rows than ``spark.brooklet.rowsPerSlice`` stay. If there is
+   none, the plan is the plain window and the rest of this list does not happen. At most
+   ``rows / rowsPerSlice`` keys can stay (200,000 for 10**12 rows at the default). For these a second
+   aggregation takes quantiles of the order column. The table of hot keys and their slice bounds is written
+   once; it is broadcast up to ``BROADCAST_ROWS`` rows and shuffled beyond, like the summaries below.
+2. *slice*: rows of such a key are cut at the quantiles, so that slices have equal numbers of rows however
+   uneven the order column is; all other rows are in slice 0 of their key. Rows with the very same position
+   stay together. A sequence without keys is always cut, into as many slices as the cluster runs tasks or more.
 3. *scan*: one shuffle on (key, slice), one sort, ordinary window functions inside the slice.
 4. *carry*: the sliced keys only are aggregated per (key, slice), a window over those few rows gives
-   what comes before or after a slice, and a join hands it back.
+   what comes before or after a slice, and a join hands it back. The aggregation and the windows read the
+   same shuffle, so the input is read once, however many scans are chained.
 
 Several scans on one :class:`Ordered` share the shuffle and the sort.
 """
 
 from __future__ import annotations
 
+import math
+import uuid
 from dataclasses import dataclass
 from typing import Any
 
@@ -28,6 +33,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from brooklet.session import saved
+
 ROWS_PER_SLICE = 5_000_000
 BROADCAST_ROWS = 1_000_000
 ROWS_PER_SLICE_CONF = "spark.brooklet.rowsPerSlice"
@@ -64,6 +71,49 @@ def count_slices(hot: DataFrame, limit: int) -> int:
     return hot.agg(F.sum(F.ceil(F.col("__n") / limit))).first()[0] or 0
 
 
+MOST_CUTS = 2_000  # slices of one key
+
+# What probes have found, by session, input, keys, order column and limit. Any bounds give right results, so a
+# table that has changed meanwhile only makes slices uneven.
+_PROBES: dict[tuple, Any] = {}
+
+
+def _quantiles(pos: Column, slices: int) -> Column:
+    return F.percentile_approx(pos, F.array(*[F.lit(i / slices) for i in range(1, slices)]), 10_000)
+
+
+def probe_keys(probe: DataFrame, keys: list[str], slice_on: str, limit: int) -> tuple[DataFrame | None, int]:
+    """The keys with more than ``limit`` rows and their slice bounds ``(__k0.., __bounds)``, None if there are
+    none, and how many slices they make."""
+    pos = position(probe, slice_on).cast("double")
+    names = [f"__k{i}" for i in range(len(keys))]
+    counts = probe.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit)
+    most, keys_found = counts.agg(F.max("__n"), F.count(F.lit(1))).first()
+    if not keys_found:
+        return None, 0
+    slices = min(MOST_CUTS, max(2, math.ceil(most / limit)))
+    hot = counts.select(*names)
+    rows = probe.select(*[F.col(k).alias(f"__p{i}") for i, k in enumerate(keys)], pos.alias("__pos"))
+    match = null_safe([rows[f"__p{i}"] for i in range(len(keys))], [hot[n] for n in names])
+    bounds = rows.join(broadcast_if_small(hot, keys_found), match).groupBy(*names).agg(_quantiles(F.col("__pos"), slices).alias("__bounds"))
+    return saved(bounds, "hot-keys"), keys_found * slices
+
+
+def probe_sequence(probe: DataFrame, slice_on: str, limit: int) -> list[float]:
+    """The slice bounds of a sequence without keys."""
+    pos = position(probe, slice_on).cast("double")
+    tasks = probe.sparkSession.sparkContext.defaultParallelism
+    fine = 256
+    n, marks = probe.agg(F.count(F.lit(1)), _quantiles(pos, fine)).first()
+    if not n or marks is None:
+        return []
+    slices = max(2, tasks, math.ceil(n / limit))
+    if slices > fine:
+        marks, fine = probe.agg(_quantiles(pos, min(slices, MOST_CUTS))).first()[0], min(slices, MOST_CUTS)
+    slices = min(slices, fine)
+    return sorted({marks[round(i * fine / slices) - 1] for i in range(1, slices)})
+
+
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
@@ -254,38 +304,33 @@ class Ordered:
         slice_on = slice_on or self.order[0]
         limit = rows_per_slice(df)
         probe = df if probe is None else probe
-        pos = position(probe, slice_on).cast("double")
-        stats = [F.count(F.lit(1)).alias("__n"), F.min(pos).alias("__lo"), F.max(pos).alias("__hi")]
         own = position(df, slice_on).cast("double")
-
-        def slice_of(n: Column, lo: Column, hi: Column) -> Column:
-            slices = F.ceil(n / F.lit(float(limit)))
-            return F.floor((own - lo) * slices / (hi - lo + 1)).cast("long")
-
-        self.sliced, self.slices = False, 0
+        self.sliced, self.slices, self.df = False, 0, df
+        session = probe.sparkSession.sparkContext.applicationId
+        known = (session, probe.semanticHash(), tuple(probe.columns), tuple(self.keys), slice_on, limit)
+        if known not in _PROBES:
+            _PROBES[known] = probe_keys(probe, self.keys, slice_on, limit) if self.keys else probe_sequence(probe, slice_on, limit)
         if self.keys:
-            hot = probe.groupBy(*self.keys).agg(*stats).where(F.col("__n") > limit)
-            self.slices = count_slices(hot, limit)
-            if not self.slices:
-                self.df = df
+            hot, self.slices = _PROBES[known]
+            if hot is None:
                 return
             names = [f"__k{i}" for i in range(len(self.keys))]
-            hot = hot.select(*[F.col(k).alias(n) for k, n in zip(self.keys, names)], "__n", "__lo", "__hi")
-            joined = df.join(
-                broadcast_if_small(hot, self.slices), null_safe([df[k] for k in self.keys], [hot[n] for n in names]), "left"
-            )
-            self.df = joined.select(
-                *[df[c] for c in df.columns],
-                F.col("__n").isNotNull().alias(_HOT),
-                F.coalesce(slice_of(F.col("__n"), F.col("__lo"), F.col("__hi")), F.lit(0)).alias(_SLICE),
-            )
+            bounds = broadcast_if_small(hot, self.slices)
+            joined = df.join(bounds, null_safe([df[k] for k in self.keys], [bounds[n] for n in names]), "left")
+            at = F.size(F.filter("__bounds", lambda b: b < own)).cast("long")
+            is_hot = F.col("__bounds").isNotNull()
+            cut = joined.select(*[df[c] for c in df.columns], is_hot.alias(_HOT), F.when(is_hot, at).otherwise(F.lit(0).cast("long")).alias(_SLICE))
         else:
-            n, lo, hi = probe.agg(*stats).first()
-            if n <= limit:
-                self.df = df
+            marks = _PROBES[known]
+            if not marks:
                 return
-            self.slices = -(-n // limit)
-            self.df = df.withColumns({_HOT: F.lit(True), _SLICE: slice_of(F.lit(float(n)), F.lit(lo), F.lit(hi))})
+            self.slices = len(marks) + 1
+            at = F.size(F.filter(F.array(*[F.lit(m) for m in marks]), lambda b: b < own)).cast("long")
+            cut = df.withColumns({_HOT: F.lit(True), _SLICE: at})
+        # Both readers of the shuffle must ask for the same columns to share it; the observation needs them all.
+        dealt = cut.repartition(*self.keys, _HOT, _SLICE)
+        never = F.when(F.col(_SLICE) < 0, F.struct(*[F.col(f"`{c}`") for c in dealt.columns]))
+        self.df = dealt.observe(f"sliced-{uuid.uuid4().hex}", F.count(never).alias("misplaced"))
         self.sliced = True
 
     def _frame(self) -> Frame:
