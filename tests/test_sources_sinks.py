@@ -120,3 +120,29 @@ def test_generator_repeats(spark):
 def test_field_maps(spark):
     got = as_field_maps(elements(spark, [(1, None)], "id int, name string")).first()[0]
     assert got == {"id": "1", "name": None}
+
+
+def test_upsert_without_merge():
+    statement = jdbc.UPSERT["duplicate_key"]("t", "s", ["a"], ["b", "c"])
+    assert statement == "INSERT INTO t (a, b, c) SELECT a, b, c FROM s ON DUPLICATE KEY UPDATE b = VALUES(b), c = VALUES(c)"
+    assert jdbc.UPSERT["duplicate_key"]("t", "s", ["a"], []).endswith("UPDATE a = t.a")
+
+
+def test_each_writer_has_its_staging_table_and_names_are_quoted():
+    names = {jdbc.staging_name("t", q, b) for q in ("q1", "q2") for b in (0, 1)}
+    assert len(names) == 4 and names == {jdbc.staging_name("t", q, b) for q in ("q1", "q2") for b in (0, 1)}
+    done, statements = jdbc.ledger_statements("t", "s", "l", "it's", 3, ["a"])
+    assert "query_id = 'it''s'" in done and "VALUES ('it''s', 3)" in statements[1]
+
+
+@pytest.mark.parametrize("finished", [True, False])
+def test_the_ledger_is_asked_before_staging(spark, monkeypatch, finished):
+    calls = []
+
+    def transaction(session, url, work, options):
+        work(lambda s: calls.append(s.split(" ")[0]), lambda q: calls.append("ask") or finished)
+
+    monkeypatch.setattr(jdbc, "in_transaction", transaction)
+    monkeypatch.setattr(jdbc, "stage", lambda *a, **k: calls.append(("stage", k["options"]["user"])))
+    jdbc.exactly_once_jdbc("jdbc:x", "t", "l", "q", {"user": "u"})(spark.range(1), 5)
+    assert calls == (["ask"] if finished else ["ask", ("stage", "u"), "ask", "INSERT", "INSERT", "DROP"])
