@@ -49,7 +49,7 @@ def _scan(rows: DataFrame, least: int, k: int, surroundings: bool) -> DataFrame:
                 doc = np.searchsorted(found.offsets, at, "right") - 1
                 keep = _minimisers(grams, doc, extra + 1)
                 at, grams, doc = at[keep], grams[keep], doc[keep]
-                rows_of = batch.take(pa.array(doc))
+                rows_of = batch.select(["id", "d"]).take(pa.array(doc))
                 columns = [rows_of.column("id"), rows_of.column("d"), pa.array(at - found.offsets[doc], pa.int32()), pa.array(grams.view(np.int64))]
                 if surroundings:
                     # A place beyond the text's ends is 0: no window lies across it.
