@@ -12,6 +12,7 @@ from brooklet.sinks.files import stream_rows
 from brooklet.sources.files import read_lines, watch_csv, watch_dir
 from brooklet.sources.generators import generate_stream
 from brooklet.streaming import processors
+from brooklet.streaming.patterns import match_stream
 from brooklet.streaming.joins import followed_by_stream, window_join_stream
 from brooklet.streaming.exactly_once import batch_files, latest_state, read_batches, tagged_files, write_stream
 from tests.conftest import rows
@@ -100,6 +101,37 @@ def test_rising_alert(spark, feed, tmp_path):
     assert rows(got.where("user_id >= 0"), *columns) == rows(want, *columns) != []
 
 
+@pytest.mark.parametrize(
+    "pattern",
+    [
+        Pattern.begin("a", lambda r: r("event_type") == "view").followed_by("b", lambda r: r("event_type") == "purchase").within(24 * HOUR),
+        Pattern.begin("a", lambda r: r("value") > 30).next("b", lambda r: r("value") > 20).followed_by("c", lambda r: r("value") < 5).within(48 * HOUR),
+        Pattern.begin("a", lambda r: r("event_type") == "error").within(HOUR),
+    ],
+)
+def test_patterns_with_time_outs(spark, feed, tmp_path, pattern):
+    data, stream = feed
+    columns = ["event_id", "value", "ts"]
+    got = run(spark, match_stream(stream(), ["user_id"], ["event_id"], "ts", pattern, columns), tmp_path).where("user_id >= 0")
+    want = match(data, ["user_id"], ["ts", "event_id"], "ts", pattern, columns)
+    shown = ["user_id", "outcome", *[f"{s.name}.{c}" for s in pattern.steps for c in ("event_id", "value")]]
+    assert rows(got, *shown) == rows(want, *shown) != []
+
+
+def test_patterns_at_equal_times_and_with_nulls(spark, tmp_path):
+    data = [(1, 0, "go", 0), (1, 1, "end", 0), (1, 2, None, 5), (1, 3, "go", 6), (1, 4, "go", 7), (1, 5, None, 8), (1, 6, "end", 16), (2, 7, "go", 1), (9, 8, "x", 10**6)]
+    df = spark.createDataFrame(data, "k int, o int, w string, s long").withColumn("ts", F.timestamp_seconds(F.col("s") + 1000))
+    for part in range(2):
+        df.coalesce(1).where(F.lit(part == 0) | (F.col("k") == 9)).write.mode("append").parquet(str(tmp_path / "in"))
+    pattern = Pattern.begin("a", lambda r: r("w") == "go").followed_by("b", lambda r: r("w") == "end").within(10_000)
+    stream = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    got = run(spark, match_stream(stream, ["k"], ["o"], "ts", pattern, ["o"]), tmp_path).where("k < 9")
+    want = match(df, ["k"], ["ts", "o"], "ts", pattern, ["o"])
+    shown = ["k", "outcome", "a.o", "b.o"]
+    assert rows(got, *shown) == rows(want, *shown)
+    assert len(rows(got.where("outcome = 'timeout'"), *shown)) == 2
+
+
 def test_cumulative_windows(spark, feed, tmp_path):
     data, stream = feed
     got = run(spark, processors.cumulative_stream(stream(), "ts", "6 hours", ["user_id"]), tmp_path)
