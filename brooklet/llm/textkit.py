@@ -107,6 +107,11 @@ def _spans(values: np.ndarray, base: int, starts: np.ndarray, ends: np.ndarray)
     return mix((sums[ends] - sums[starts]) * inverse[starts])
 
 
+def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte spans."""
+    return _spans(_BYTE_CODE[data], _BASE, starts, ends)
+
+
 @dataclass
 class Words:
     """Words of some texts: byte spans, hashes, and where each text's words begin (n + 1 offsets)."""
@@ -146,7 +151,7 @@ def words(column: pa.Array, is_word: np.ndarray) -> Words:
     after[edges - 1] = False
     starts = np.flatnonzero(inside & ~before)
     ends = np.flatnonzero(inside & ~after) + 1
-    hashes = _spans(_BYTE_CODE[data], _BASE, starts, ends)
+    hashes = span_hashes(data, starts, ends)
     return Words(data, starts, ends, hashes, np.searchsorted(starts, offsets))
 
 

@@ -3,8 +3,8 @@
 A text is cut where the encoding cannot look across: around a single space or line feed between two characters
 that are not white space, and between an ASCII letter or digit and a following ``.``, ``,`` or ``!``. Every
 pre-tokenizer pattern used here starts a new match at these places and normalisation works within them (special
-tokens hold no such place), so the ids of a text are the ids of its pieces in order. Pieces are counted in
-Arrow; the library encodes each distinct piece once and a bounded memo keeps the ids.
+tokens hold no such place), so the ids of a text are the ids of its pieces in order. Pieces are told apart by a
+64-bit hash and their size; the library encodes each distinct piece once and a bounded memo keeps the ids.
 """
 
 from __future__ import annotations
@@ -15,9 +15,9 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 
-from brooklet.llm.textkit import raw_texts
+from brooklet.llm.textkit import raw_texts, span_hashes
 
-MEMO_PIECES = 250_000
+MEMO_PIECES = 1_500_000
 
 _ASCII_SOLID = np.zeros(256, dtype=bool)
 _ASCII_SOLID[0x21:0x7F] = True
@@ -56,6 +56,58 @@ def cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(cut), n)
 
 
+class _Memo:
+    """Ids by piece hash: sorted hashes with the entry they stand for, in a large run and a small recent one."""
+
+    def __init__(self, limit: int, dtype: type):
+        self.limit, self.count, self.used = limit, 0, 0
+        self.runs = [(np.zeros(0, np.uint64), np.zeros(0, np.int32)) for _ in range(2)]
+        self.starts, self.lengths, self.sizes = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)
+        self.pool = np.zeros(0, dtype)
+
+    def find(self, hashes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        """The entry of each piece or -1; the size in bytes must agree as well."""
+        found = np.full(len(hashes), -1, dtype=np.int64)
+        for keys, entries in self.runs:
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+                hit = keys[at] == hashes
+                found[hit] = entries[at[hit]]
+        known = np.flatnonzero(found >= 0)
+        found[known[self.sizes[found[known]] != sizes[known]]] = -1
+        return found
+
+    @staticmethod
+    def _room(array: np.ndarray, size: int) -> np.ndarray:
+        return array if size <= len(array) else np.concatenate([array, np.zeros(max(size - len(array), len(array), 1 << 16), array.dtype)])
+
+    def lay_out(self, flat: np.ndarray) -> int:
+        """Put ids behind the pool's entries, there until the next call, and tell where they begin."""
+        self.pool = self._room(self.pool, self.used + len(flat))
+        self.pool[self.used : self.used + len(flat)] = flat
+        return self.used
+
+    def add(self, hashes: np.ndarray, sizes: np.ndarray, lengths: np.ndarray) -> None:
+        """Make entries of pieces just laid out, as far as there is room."""
+        keep = min(len(hashes), self.limit - self.count)
+        if keep <= 0:
+            return
+        ends = np.cumsum(lengths[:keep])
+        low, high, total = self.count, self.count + keep, self.used + int(ends[-1])
+        self.starts, self.lengths, self.sizes = (self._room(x, high) for x in (self.starts, self.lengths, self.sizes))
+        self.starts[low:high], self.lengths[low:high], self.sizes[low:high] = self.used + ends - lengths[:keep], lengths[:keep], sizes[:keep]
+        self.count, self.used = high, total
+        self.runs[1] = self._merged(self.runs[1], (hashes[:keep], np.arange(low, high, dtype=np.int32)))
+        if len(self.runs[1][0]) > 1 << 16:
+            self.runs = [self._merged(*self.runs), (np.zeros(0, np.uint64), np.zeros(0, np.int32))]
+
+    @staticmethod
+    def _merged(left: tuple, right: tuple) -> tuple:
+        keys = np.concatenate([left[0], right[0]])
+        order = np.argsort(keys, kind="stable")
+        return keys[order], np.concatenate([left[1], right[1]])[order]
+
+
 class Encoder:
     """Encodes texts with a tokenizer file; keeps a bounded memo of pieces. One per Python worker and file."""
 
@@ -69,10 +121,7 @@ class Encoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.dtype = np.uint16 if self.library.get_vocab_size() <= 1 << 16 else np.uint32
-        self.limit = memo
-        self.memo: dict[str, int] = {}
-        self.pool = np.zeros(1 << 20, dtype=self.dtype)
-        self.ends = np.zeros(memo + 1, dtype=np.int64)
+        self.memo = _Memo(memo, self.dtype)
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -83,31 +132,7 @@ class Encoder:
     def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
-        flat = np.fromiter(chain.from_iterable(found), self.dtype, int(lengths.sum()))
-        return lengths, flat
-
-    def _look_up(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each piece where its ids begin in the pool returned last, and how many they are."""
-        get = self.memo.get
-        known = np.fromiter((get(p, -1) for p in pieces), np.int64, len(pieces))
-        missing = np.flatnonzero(known < 0)
-        used = int(self.ends[len(self.memo)])
-        starts, lengths = self.ends[known], self.ends[known + 1] - self.ends[known]
-        if not len(missing):
-            return starts, lengths, self.pool
-        new = [pieces[i] for i in missing.tolist()]
-        new_lengths, flat = self._ids(new)
-        new_ends = np.cumsum(new_lengths)
-        starts[missing], lengths[missing] = used + new_ends - new_lengths, new_lengths
-        keep = min(len(new), self.limit - len(self.memo))
-        kept = int(new_ends[keep - 1]) if keep else 0
-        if used + kept > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros(max(len(self.pool), kept), self.dtype)])
-        at = len(self.memo)
-        self.pool[used : used + kept] = flat[:kept]
-        self.ends[at + 1 : at + keep + 1] = used + new_ends[:keep]
-        self.memo.update(zip(new[:keep], range(at, at + keep)))
-        return starts, lengths, np.concatenate([self.pool[:used], flat]) if keep < len(new) else self.pool
+        return lengths, np.fromiter(chain.from_iterable(found), self.dtype, int(lengths.sum()))
 
     def encode(self, column: pa.Array, ids: bool = True) -> tuple[np.ndarray, np.ndarray]:
         """Offsets (n + 1) of every text's ids, and the ids (none if only the offsets are asked for)."""
@@ -115,10 +140,17 @@ class Encoder:
         if not len(data):
             return np.zeros(len(offsets), np.int64), np.zeros(0, self.dtype)
         bounds = cuts(data, offsets)
-        pieces = pa.LargeStringArray.from_buffers(len(bounds) - 1, pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
-        coded = pieces.dictionary_encode()
-        codes = coded.indices.to_numpy()
-        starts, lengths, pool = self._look_up(coded.dictionary.to_pylist())
+        hashes, first, codes = np.unique(span_hashes(data, bounds[:-1], bounds[1:]), return_index=True, return_inverse=True)
+        bytes_of = bounds[first + 1] - bounds[first]
+        entry = self.memo.find(hashes, bytes_of)
+        starts, lengths = np.zeros(len(hashes), np.int64), np.zeros(len(hashes), np.int64)
+        known, missing = np.flatnonzero(entry >= 0), np.flatnonzero(entry < 0)
+        starts[known], lengths[known] = self.memo.starts[entry[known]], self.memo.lengths[entry[known]]
+        if len(missing):
+            raw = data.tobytes()
+            new_lengths, flat = self._ids([raw[bounds[i] : bounds[i + 1]].decode() for i in first[missing].tolist()])
+            starts[missing], lengths[missing] = self.memo.lay_out(flat) + np.cumsum(new_lengths) - new_lengths, new_lengths
+            self.memo.add(hashes[missing], bytes_of[missing], new_lengths)
         sizes = lengths[codes]
         ends = np.zeros(len(codes) + 1, dtype=np.int64)
         np.cumsum(sizes, out=ends[1:])
@@ -127,4 +159,4 @@ class Encoder:
             return text_ends, np.zeros(0, self.dtype)
         at = np.repeat(starts[codes] - ends[:-1], sizes)
         at += np.arange(len(at))
-        return text_ends, pool[at]
+        return text_ends, self.memo.pool[at]
