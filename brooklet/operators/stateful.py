@@ -20,9 +20,15 @@ def value_sum(df: DataFrame, value: str) -> DataFrame:
     return df.withColumn("total", F.col(value))
 
 
+def history_elements(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The long form of a history: every row once, with its ``position`` in the key's history. The history at a
+    row is the rows up to its position, so nothing grows, and a key may have any number of rows."""
+    return Ordered(df, keys, order).scan(position=Count()).result()
+
+
 def history_list(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
-    """Every row with the list of the key's values so far. The output grows with the square of the
-    longest history; that is the operator, so use it only where histories are short."""
+    """Every row with the list of the key's values so far: the view of ``history_elements`` for short histories.
+    The output grows with the square of the longest one, and a row ends at 2 GB; that is the operator."""
     return Ordered(df, keys, order).scan(history=History(value)).result()
 
 

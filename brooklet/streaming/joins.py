@@ -24,8 +24,9 @@ def window_join_stream(
 def followed_by_stream(
     first: DataFrame, second: DataFrame, keys: list[str], first_ts: str, second_ts: str, within: str, delay_ms: int
 ) -> DataFrame:
-    """Each ``first`` row with every ``second`` row of its key less than ``within`` later, or with nulls once that
-    time has passed: the pay-or-time-out pattern as a left interval join."""
+    """Each ``first`` row with every ``second`` row of its key later by less than ``within``, or with nulls once that
+    time has passed: a left interval join. It gives all followers, and none at the very same time. For the first
+    follower only, equal times included, use ``streaming.patterns.match_stream``, which equals the batch form."""
     a = first.withColumn(first_ts, F.col(first_ts).cast("timestamp")).withWatermark(first_ts, f"{delay_ms} milliseconds")
     b = second.withColumn(second_ts, F.col(second_ts).cast("timestamp")).withWatermark(second_ts, f"{delay_ms} milliseconds")
     b = b.withColumnsRenamed({k: f"__{k}" for k in keys})

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from brooklet.operators import ordered
 from brooklet.operators.ordered import ROWS_PER_SLICE_CONF, Count, Last, Ordered, Sum
+from brooklet.operators.stateful import history_elements, history_list
 from brooklet.plans import QUERIES
 from tests.conftest import DATA, rows
 
@@ -72,3 +73,13 @@ def test_inputs_are_probed_once(spark, monkeypatch):
     for _ in range(3):
         Ordered(df, ["only_here"], ["o"])
     assert len(asked) == 1
+
+
+def test_long_and_list_form_of_histories_agree(spark, limit_1000):
+    df = spark.range(2_500).select((F.col("id") % 2).alias("k"), F.col("id").alias("o"), (F.col("id") * 7 % 11).alias("v"))
+    long = history_elements(df, ["k"], ["o"]).collect()
+    values = {}
+    for r in sorted(long, key=lambda r: r.position):
+        values.setdefault(r.k, []).append(r.v)
+    for r in history_list(df, ["k"], ["o"], "v").where("o % 500 < 2").collect():
+        assert r.history == values[r.k][: r.o // 2 + 1]
