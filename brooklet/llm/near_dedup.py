@@ -9,9 +9,9 @@
    (uniform prior) is bounded: a pair whose probability to reach the threshold is below ``miss`` is pruned.
 5. Survivors are verified on their full sets. Links are joined to components by star contraction.
 6. Rest round: in buckets that still hold several components the remaining pairs of different components are
-   compared in blocks of bounded size, pruned, verified and joined; a pair that shares several buckets is given
-   out by the first of them. So every pair of a bucket is either compared or already connected, and a bucket
-   of copies of one text costs one comparison per member.
+   compared in blocks of bounded size, pruned and verified where they are; only links come out. So every pair
+   of a bucket is either compared or already connected, and a bucket of copies of one text costs one
+   comparison per member.
 """
 
 from __future__ import annotations
@@ -136,9 +136,8 @@ def _prune(pairs: DataFrame, sigs: DataFrame, how: MinHash) -> DataFrame:
     return both.select("a", "b", "sa", "sb").mapInArrow(run, with_fields(pairs.select("a", "b")))
 
 
-def _verify(rows: DataFrame, pairs: DataFrame, how: MinHash) -> DataFrame:
-    """The pairs that are links by their full sets."""
-    ids = saved(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "near-ids")
+def _sets(rows: DataFrame, ids: DataFrame, how: MinHash) -> DataFrame:
+    """``id, items``: the full sets of some documents, written."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -147,7 +146,12 @@ def _verify(rows: DataFrame, pairs: DataFrame, how: MinHash) -> DataFrame:
                 flat = np.concatenate(sets).view(np.int64)
                 yield pa.RecordBatch.from_arrays([batch.column("id"), lists(pa.array(flat), np.cumsum([0, *map(len, sets)]))], ["id", "items"])
 
-    sets = saved(rows.join(small_enough(ids), "id", "left_semi").mapInArrow(run, with_fields(rows.select("id"), "items array<bigint>")), "near-sets")
+    return saved(rows.join(small_enough(ids), "id", "left_semi").mapInArrow(run, with_fields(rows.select("id"), "items array<bigint>")), "near-sets")
+
+
+def _verify(rows: DataFrame, pairs: DataFrame, how: MinHash) -> DataFrame:
+    """The pairs that are links by their full sets."""
+    sets = _sets(rows, saved(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "near-ids"), how)
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("items").alias("ia")), "a").join(sets.select(F.col("id").alias("b"), F.col("items").alias("ib")), "b")
     both = both.withColumn("inter", F.size(F.array_intersect("ia", "ib"))).withColumn("union", F.size("ia") + F.size("ib") - F.col("inter"))
     return both.where(100 * F.col("inter") >= how.percent * F.col("union")).select("a", "b")
@@ -174,54 +178,110 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("label")).union(edges.select(F.col("v").alias("id"), F.col("v").alias("label"))).distinct()
 
 
-def _rest(members: DataFrame, sigs: DataFrame, labels: DataFrame, how: MinHash) -> DataFrame:
-    """Pairs of different components in the same bucket that the star round has not compared, pruned."""
+def _survivors(left: np.ndarray, right: np.ndarray, same: bool, label: np.ndarray, sig: np.ndarray, band: int, how: MinHash) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of two blocks of a bucket with different labels that the signatures do not rule out. A pair that
+    shares several buckets is left to the first of them."""
+    needed = how.needed()
+    for part in np.array_split(left, len(left) // 64 + 1):
+        differ = label[part][:, None] != label[right][None, :]
+        if same:
+            differ &= part[:, None] < right[None, :]
+        x, y = np.nonzero(differ)
+        x, y = part[x], right[y]
+        matches = np.zeros(len(x), dtype=np.int64)
+        for first, last, least in needed:
+            matches += (sig[x, first:last] == sig[y, first:last]).sum(axis=1)
+            alive = matches >= least
+            x, y, matches = x[alive], y[alive], matches[alive]
+        same_bands = (sig[x] == sig[y]).reshape(-1, how.bands, how.rows).all(axis=2)
+        first_seen = same_bands.argmax(axis=1) == band
+        yield x[first_seen], y[first_seen]
+
+
+def _buckets(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, bool, int]]:
+    """The two blocks of each bucket of a sorted table, as row numbers, whether they are one, and the band."""
+    bucket, band, own = (table.column(c).to_numpy() for c in ("bucket", "band", "own"))
+    i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+    bounds = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]])
+    for low, high in zip(bounds[:-1], bounds[1:]):
+        rows = np.arange(low, high)
+        yield rows[own[rows] == i], rows[own[rows] == j], i == j, int(band[low])
+
+
+def _rest(rows: DataFrame, members: DataFrame, sigs: DataFrame, labels: DataFrame, how: MinHash) -> DataFrame:
+    """Links between different components in the same bucket that the star round has not compared.
+
+    A first pass over the signatures keeps the members with a pair that may be a link, a second one has their
+    full sets and verifies. What either gives out is no more than the members, however many pairs there are.
+    """
     label = F.coalesce("label", F.col("id"))
-    labelled = members.join(labels, "id", "left").select("bucket", "band", "id", label.alias("label"), "centre")
-    open_ = labelled.where("id != centre").groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).where("low != high")
+    labelled = members.join(labels, "id", "left").select("bucket", "band", "id", label.alias("label"), "centre").where("id != centre")
+    open_ = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).where("low != high")
     blocks = F.ceil(F.col("size") / how.block).cast("int")
-    open_ = saved(open_.select("bucket", blocks.alias("blocks")), "near-open")
-    rows = labelled.where("id != centre").join(open_, "bucket")
+    there = labelled.join(saved(open_.select("bucket", blocks.alias("blocks")), "near-open"), "bucket")
     # A bucket of more than one block meets itself block by block.
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows = rows.select("bucket", "band", "id", "label", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"))
-    rows = saved(rows, "near-rest")
-    groups = max(64, rows.count() // 20_000)
-    rows = rows.join(sigs.select("id", "sig"), "id")
-    needed = how.needed()
+    there = there.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    there = saved(there.select("bucket", "band", "id", "label", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")), "near-rest")
+    kind = members.schema["id"].dataType.simpleString()
+    plain = there.columns
 
-    def run(table: pa.Table) -> pa.Table:
+    def keep(table: pa.Table) -> pa.Table:
         table = table.sort_by([("bucket", "ascending")])
-        bucket, band, own, label = (table.column(c).to_numpy() for c in ("bucket", "band", "own", "label"))
-        sig = _matrix(table.column("sig"), how.size)
-        bounds = np.concatenate([[0], np.flatnonzero(bucket[1:] != bucket[:-1]) + 1, [len(bucket)]])
-        first_i, first_j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        label, sig = table.column("label").to_numpy(), _matrix(table.column("sig"), how.size)
+        used = np.zeros(len(label), dtype=bool)
+        for left, right, same, band in _buckets(table):
+            for x, y in _survivors(left, right, same, label, sig, band, how):
+                used[x] = used[y] = True
+        return table.filter(pa.array(used)).select(plain)
+
+    def verify(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("bucket", "ascending")])
+        label, sig = table.column("label").to_numpy(), _matrix(table.column("sig"), how.size)
+        items = table.column("items").combine_chunks()
         found_a, found_b = [], []
-        for low, high in zip(bounds[:-1], bounds[1:]):
-            left = low + np.flatnonzero(own[low:high] == first_i)
-            right = low + np.flatnonzero(own[low:high] == first_j)
-            for part in np.array_split(left, len(left) // 64 + 1):
-                differ = label[part][:, None] != label[right][None, :]
-                if first_i == first_j:
-                    differ &= part[:, None] < right[None, :]
-                x, y = np.nonzero(differ)
-                x, y = part[x], right[y]
-                matches = np.zeros(len(x), dtype=np.int64)
-                for first, last, least in needed:
-                    matches += (sig[x, first:last] == sig[y, first:last]).sum(axis=1)
-                    alive = matches >= least
-                    x, y, matches = x[alive], y[alive], matches[alive]
-                same_bands = (sig[x] == sig[y]).reshape(-1, how.bands, how.rows).all(axis=2)
-                first_seen = same_bands.argmax(axis=1) == band[low]
-                x, y = x[first_seen], y[first_seen]
-                found_a.append(x)
-                found_b.append(y)
+        for left, right, same, band in _buckets(table):
+            pairs = list(_survivors(left, right, same, label, sig, band, how))
+            x, y = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
+            if not len(x):
+                continue
+            # The sets of the right block as one array of numbers; a set on the left marks its own and is counted in all.
+            many = items.take(pa.array(right))
+            flat, begins, sizes = many.flatten().to_numpy(), many.offsets.to_numpy()[:-1] - many.offsets[0].as_py(), many.value_lengths().to_numpy()
+            vocabulary, codes = np.unique(flat, return_inverse=True)
+            place = {row: n for n, row in enumerate(right.tolist())}
+            joined = {}
+
+            def root(name):
+                while joined.get(name, name) != name:
+                    name = joined[name]
+                return name
+
+            for row in np.unique(x).tolist():
+                own = items[row].values.to_numpy()
+                at = np.minimum(np.searchsorted(vocabulary, own), len(vocabulary) - 1)
+                marked = np.zeros(len(vocabulary), dtype=np.int64)
+                marked[at[vocabulary[at] == own]] = 1
+                inter = np.add.reduceat(marked[codes], begins)
+                for partner in y[x == row].tolist():
+                    n = place[partner]
+                    if 100 * inter[n] >= how.percent * (len(own) + sizes[n] - inter[n]):
+                        a, b = root(label[row]), root(label[partner])
+                        if a != b:  # one link is enough to join two components
+                            joined[max(a, b)] = min(a, b)
+                            found_a.append(row)
+                            found_b.append(partner)
         ids = table.column("id").combine_chunks()
-        return pa.table({"a": ids.take(pa.array(np.concatenate(found_a))), "b": ids.take(pa.array(np.concatenate(found_b)))})
+        return pa.table({"a": ids.take(pa.array(found_a, pa.int64())), "b": ids.take(pa.array(found_b, pa.int64()))})
 
-    many = F.pmod("bucket", F.lit(groups))
-    kind = members.schema["id"].dataType.simpleString()
-    return rows.withColumn("many", many).groupBy("many", "i", "j").applyInArrow(run, f"a {kind}, b {kind}")
+    def grouped(df: DataFrame, size: int, *with_: DataFrame):
+        groups = max(64, df.count() // size)
+        for other in with_:
+            df = df.join(other, "id")
+        return df.withColumn("many", F.pmod("bucket", F.lit(groups))).groupBy("many", "i", "j")
+
+    left_over = saved(grouped(there, 20_000, sigs).applyInArrow(keep, with_fields(there)), "near-left")
+    sets = _sets(rows, saved(left_over.select("id").distinct(), "near-ids"), how)
+    return grouped(left_over, 4_000, sigs, sets).applyInArrow(verify, f"a {kind}, b {kind}")
 
 
 def link_near_copies(docs: DataFrame, how: MinHash = MinHash(), id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -254,10 +314,9 @@ def link_near_copies(docs: DataFrame, how: MinHash = MinHash(), id: str = "doc_i
     pairs = members.where("id != centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     links = saved(_verify(rows, saved(_prune(pairs, sigs, how), "near-pairs"), how), "near-links")
     labels = saved(components(links), "near-labels")
-    rest = saved(_rest(members, sigs, labels, how).distinct(), "near-rest-pairs")
+    rest = saved(_rest(rows, members, sigs, labels, how), "near-rest-links")
     if not rest.isEmpty():
-        links = saved(links.union(_verify(rows, rest, how)), "near-links")
-        labels = saved(components(links), "near-labels")
+        labels = saved(components(links.union(rest)), "near-labels")
     named = several.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("k1", "k2", F.coalesce("label", "rep").alias("by_class"))
     found = small.join(named, ["k1", "k2"], "left").join(labels, "id", "left")
     component = F.when(F.col("n") > 0, F.coalesce("by_class", "label", "id")).otherwise(F.col("id"))
