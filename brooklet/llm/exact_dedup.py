@@ -86,7 +86,12 @@ def find_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", capacit
 
 
 def drop_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", capacity: int = 250_000) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns. See ``find_copies``."""
-    name = fresh(docs, "dropped")
-    dropped = saved(find_copies(docs, id, text, capacity).where("NOT kept").select(F.col(id).alias(name)), "dedup-dropped")
-    return docs.join(small_enough(dropped), docs[id].eqNullSafe(F.col(name)), "left_anti")
+    """The rows of ``docs`` that ``find_copies`` marks kept, with all their columns.
+
+    Rows are known by id and normal form: a null id or a repeated id takes no other text with it.
+    """
+    own_id, own_sha = fresh(docs, "dropped_id"), fresh(docs, "dropped_sha")
+    named = F.col(id).alias(own_id), F.unhex("text_sha256").alias(own_sha)
+    dropped = saved(find_copies(docs, id, text, capacity).where("NOT kept").select(*named).distinct(), "dedup-dropped")
+    match = docs[id].eqNullSafe(F.col(own_id)) & (F.unhex(F.sha2(normal_form(docs[text]), 256)) == F.col(own_sha))
+    return docs.join(small_enough(dropped), match, "left_anti")

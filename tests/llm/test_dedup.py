@@ -1,5 +1,7 @@
+import hashlib
 import random
 import re
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -57,6 +59,17 @@ def test_exact_keeps_columns_and_takes_empty_tables(spark):
     assert find_copies(empty_docs(spark)).count() == 0 and drop_copies(empty_docs(spark)).count() == 0
 
 
+def test_exact_drops_what_find_copies_drops(spark):
+    docs = odd_docs(spark, [*TEXTS, "no id"]).select("doc_id", "text")
+    more = spark.createDataFrame([(None, "alone"), (None, "two words"), (40, "a"), (41, "a"), (41, "b"), (None, None)], docs.schema)
+    docs = docs.union(more)
+    plain = lambda t: hashlib.sha256(re.sub(r"[\x20\x09-\x0D]+", " ", t or "").encode()).hexdigest()
+    want = Counter((r.doc_id, r.text_sha256) for r in find_copies(docs).where("kept").collect())
+    got = Counter((r.doc_id, plain(r.text)) for r in drop_copies(docs).collect())
+    assert got == want
+    assert {(None, plain("alone")), (41, plain("b"))} <= set(got) and not {(None, plain("no id")), (None, plain("two words")), (41, plain("a"))} & set(got)
+
+
 def test_splitting_the_directory_changes_nothing(spark):
     docs = spark.range(3000).selectExpr("id AS doc_id", "concat('text ', id % 1700) AS text")
     few, many = (find_copies(docs, capacity=c).orderBy("doc_id").collect() for c in (3, 10**6))
