@@ -2,8 +2,9 @@
 
 Training counts hashed byte trigrams by language on labelled documents. A document is a bag of trigrams drawn
 from a mixture of the languages' distributions; EM estimates the proportions. The set of languages is chosen by
-penalised likelihood: starting from the most likely ones, the language with the smallest share is given up as
-long as that pays, and the proportions are fitted anew. The language with the largest share is the prediction.
+penalised likelihood: starting from all languages that explain at least half a trigram, the language with the
+smallest share is given up, one after the other, and the proportions are fitted anew; the set that pays best
+stays, whatever its size. The language with the largest share is the prediction.
 """
 
 from __future__ import annotations
@@ -49,7 +50,8 @@ class LanguageModel:
     languages: list[str]
     probabilities: np.ndarray
     rounds: int = 12
-    most: int = 4  # languages that a document's set may have
+    least: float = 0.5  # trigrams that a language explains at the start, or it is no candidate
+    always: int = 4  # candidates of every document, however few trigrams they explain
     penalty: float = 3.0  # neighbouring trigrams share letters: three of them count as one observation
 
     def _fit(self, p: np.ndarray, share: np.ndarray, doc: np.ndarray, counts: np.ndarray, begins: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
@@ -76,17 +78,28 @@ class LanguageModel:
         p = self.probabilities[cells % GRAMS]
         share, _ = self._fit(p, np.full((len(known), languages), 1 / languages, np.float32), doc, counts, begins, self.rounds)
         size = np.add.reduceat(counts, begins)
-        chosen, chosen_cost = share, np.full(len(known), np.inf)
+        chosen, chosen_cost = share.copy(), np.full(len(known), np.inf)
+        # The languages of a document by share; the first ``candidates`` of them are its set to begin with.
         order = np.argsort(-share, axis=1, kind="stable")
-        for k in range(min(self.most, languages), 0, -1):
-            mask = np.zeros_like(share)
-            np.put_along_axis(mask, order[:, :k], 1, axis=1)
-            start = share * mask + np.float32(1e-6) * mask
-            fitted, likelihood = self._fit(p, start / start.sum(axis=1, keepdims=True), doc, counts, begins, 6 if k > 1 else 0)
-            cost = -2 * likelihood + self.penalty * (k - 1) * np.log(size + 1)
-            better = cost <= chosen_cost
-            chosen, chosen_cost = np.where(better[:, None], fitted, chosen), np.minimum(cost, chosen_cost)
-            share, order = fitted, np.argsort(-fitted, axis=1, kind="stable")
+        share = np.take_along_axis(share, order, axis=1)
+        candidates = np.maximum((share * size[:, None] >= self.least).sum(axis=1), min(self.always, languages))
+        for k in range(int(candidates.max()), 0, -1):
+            at = np.flatnonzero(candidates >= k)  # only documents whose set is that large
+            cell = candidates[doc] >= k
+            own = np.repeat(np.arange(len(at)), np.diff(np.append(begins, len(doc)))[at])
+            own_begins = np.searchsorted(own, np.arange(len(at)))
+            start = share[at, :k] + np.float32(1e-6)
+            fitted, likelihood = self._fit(
+                np.take_along_axis(p[cell], order[at, :k][own], axis=1), start / start.sum(axis=1, keepdims=True), own, counts[cell], own_begins, 6 if k > 1 else 0
+            )
+            cost = -2 * likelihood + self.penalty * (k - 1) * np.log(size[at] + 1)
+            better = cost <= chosen_cost[at]
+            whole = np.zeros((len(at), languages), dtype=share.dtype)
+            np.put_along_axis(whole, order[at, :k], fitted, axis=1)
+            chosen[at[better]], chosen_cost[at[better]] = whole[better], cost[better]
+            rank = np.argsort(-fitted, axis=1, kind="stable")
+            share[at, :k] = np.take_along_axis(fitted, rank, axis=1)
+            order[at, :k] = np.take_along_axis(order[at, :k], rank, axis=1)
         top = chosen.argmax(axis=1)
         best[known], score[known], shares[known] = top, chosen[np.arange(len(known)), top], chosen
         return best, np.clip(score, 0, 1), shares

@@ -159,6 +159,20 @@ def test_language_mixtures_and_odd_inputs(spark):
     assert language.predict(empty_docs(spark), model).count() == 0
 
 
+def test_language_sets_of_any_size(spark):
+    rng = random.Random(12)
+    say = {f"l{i}": "abcdefghijklmnopqrstuvwx"[3 * i : 3 * i + 3] for i in range(8)}
+    make = lambda lang, n: " ".join("".join(rng.choice(say[lang]) for _ in range(5)) for _ in range(n))
+    model = language.train(spark.createDataFrame([(i, k, make(k, 400)) for i, k in enumerate(say)], "doc_id bigint, lang string, text string"))
+    six = {"l0": 250, "l1": 150, "l2": 150, "l3": 150, "l4": 150, "l5": 150}
+    docs = spark.createDataFrame([(0, " ".join(make(k, n) for k, n in six.items())), (1, make("l6", 50)), (2, make("l7", 200) + " " + make("l2", 100))], "doc_id bigint, text string")
+    got = {r.doc_id: r for r in language.predict(docs, model).collect()}
+    assert set(got[0].mixture) == set(six) and got[0].lang_pred == "l0"
+    assert all(abs(got[0].mixture[k] - n / 1000) < 0.03 for k, n in six.items())
+    assert set(got[1].mixture) == {"l6"} and set(got[2].mixture) == {"l2", "l7"}
+    assert {r.doc_id for r in language.keep_identified(docs, model, 0.3).collect()} == {1, 2}
+
+
 def brute_repeats(texts, least):
     windows = {}
     lists = {i: words_of(t) for i, t in texts.items()}
