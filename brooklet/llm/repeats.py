@@ -7,6 +7,10 @@ dropped. The others are brought together by their first k words and sorted at ea
 around the minimiser; equal neighbours of different documents are a match, which extends the first k words to
 the left and right by a words and ``least - k - a`` words. The matched windows of a document are united.
 
+Matches are not paired. The surroundings that share a window are a set; its hash is the class of the window.
+Neighbouring alignments of a suffix with the same set are one stretch of the text, which all places of the
+class have in common, so equal classes give all partners.
+
 This finds every window of ``least`` words that another document has too, and no other, up to hash collisions.
 Suffixes with the same surroundings are merged before they are sorted. A shingle with very many different
 surroundings is not sorted in one place: its alignments are dealt out one by one.
@@ -21,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.llm.textkit import NOT_BLANK, byte_slices, mix, small_batches, small_enough, with_fields, words
+from brooklet.llm.textkit import NOT_BLANK, byte_slices, lists, mix, small_batches, small_enough, with_fields, words
 from brooklet.session import saved
 
 LEAST, SHINGLE = 50, 30
 HOT = 100_000  # surroundings of one shingle that are sorted in one task
+STRETCHES = "array<struct<near:int,far:int,class:bigint>>"
+SHARED = "array<struct<start:int,end:int,class:bigint>>"
 
 
 def _minimisers(hashes: np.ndarray, doc: np.ndarray, window: int) -> np.ndarray:
@@ -81,32 +87,46 @@ def _around(column: pa.ChunkedArray | pa.Array, extra: int) -> np.ndarray:
 
 
 def _sorted_matches(contexts: DataFrame, extra: int, groups: int) -> DataFrame:
-    """``c, mask, low, high``: bit a is set if the window at alignment a occurs in two documents."""
+    """``c, low, high, stretches``: a stretch ``near, far, class`` are the windows at alignments near to far that
+    occur in two documents, with the class of the contexts that share them."""
     kind = contexts.schema["low"].dataType.simpleString()
 
     def run(table: pa.Table) -> pa.Table:
         h, around = table.column("h").to_numpy().view(np.uint64), _around(table.column("around"), extra)
-        low, high = table.column("low").to_numpy(), table.column("high").to_numpy()
-        mask, least, most = np.zeros(len(h), np.int64), low.copy(), high.copy()
-        for a in range(extra + 1):
-            name, whole = _alignment(h, around, a, extra)
-            at = np.flatnonzero(whole)
-            order = at[np.argsort(name[at], kind="stable")]
-            if not len(order):
-                continue
-            run_names = name[order]
-            begins = np.concatenate([[0], np.flatnonzero(run_names[1:] != run_names[:-1]) + 1])
-            sizes = np.diff(np.append(begins, len(order)))
-            first, last = np.repeat(np.minimum.reduceat(low[order], begins), sizes), np.repeat(np.maximum.reduceat(high[order], begins), sizes)
-            match = first != last
-            hit = order[match]
-            mask[hit] |= 1 << a
-            least[hit], most[hit] = np.minimum(least[hit], first[match]), np.maximum(most[hit], last[match])
-        hit = mask > 0
-        return pa.table({"c": table.column("c").filter(pa.array(hit)), "mask": mask[hit], "low": least[hit], "high": most[hit]})
+        low, high, c = (table.column(x).to_numpy() for x in ("low", "high", "c"))
+        least, most = low.copy(), high.copy()
+        inside, began, own = np.zeros(len(h), bool), np.zeros(len(h), np.int32), np.zeros(len(h), np.int64)
+        done = []  # context, near, far, class
+
+        for a in range(extra + 2):
+            now, classes = np.zeros(len(h), bool), np.zeros(len(h), np.int64)
+            if a <= extra:
+                name, whole = _alignment(h, around, a, extra)
+                at = np.flatnonzero(whole)
+                order = at[np.argsort(name[at], kind="stable")]
+                if len(order):
+                    run_names = name[order]
+                    begins = np.concatenate([[0], np.flatnonzero(run_names[1:] != run_names[:-1]) + 1])
+                    sizes = np.diff(np.append(begins, len(order)))
+                    first, last = np.repeat(np.minimum.reduceat(low[order], begins), sizes), np.repeat(np.maximum.reduceat(high[order], begins), sizes)
+                    match = first != last
+                    hit = order[match]
+                    now[hit], classes[hit] = True, np.repeat(np.bitwise_xor.reduceat(c[order], begins), sizes)[match]
+                    least[hit], most[hit] = np.minimum(least[hit], first[match]), np.maximum(most[hit], last[match])
+            goes_on = inside & now & (own == classes)
+            ends = np.flatnonzero(inside & ~goes_on)
+            done.append((ends, began[ends], np.full(len(ends), a - 1, np.int32), own[ends]))
+            began[now & ~goes_on] = a
+            inside, own = now, classes
+        context, near, far, classes = (np.concatenate(x) for x in zip(*done))
+        order = np.argsort(context, kind="stable")
+        counts = np.bincount(context, minlength=len(h))
+        hit = counts > 0
+        found = pa.StructArray.from_arrays([pa.array(near[order]), pa.array(far[order]), pa.array(classes[order])], ["near", "far", "class"])
+        return pa.table({"c": c[hit], "low": least[hit], "high": most[hit], "stretches": lists(found, np.cumsum([0, *counts[hit]]))})
 
     grouped = contexts.withColumn("g", F.pmod(F.xxhash64("h"), F.lit(groups))).groupBy("g")
-    return grouped.applyInArrow(run, f"c bigint, mask bigint, low {kind}, high {kind}")
+    return grouped.applyInArrow(run, f"c bigint, low {kind}, high {kind}, stretches {STRETCHES}")
 
 
 def _dealt_matches(contexts: DataFrame, extra: int) -> DataFrame:
@@ -118,20 +138,25 @@ def _dealt_matches(contexts: DataFrame, extra: int) -> DataFrame:
             for a in range(extra + 1):
                 name, whole = _alignment(h, around, a, extra)
                 picked = batch.select(["c", "low", "high"]).filter(pa.array(whole))
-                yield picked.append_column("name", pa.array(name[whole].view(np.int64))).append_column("bit", pa.array(np.full(picked.num_rows, 1 << a)))
+                yield picked.append_column("name", pa.array(name[whole].view(np.int64))).append_column("a", pa.array(np.full(picked.num_rows, a, np.int32)))
 
-    windows = saved(contexts.mapInArrow(run, with_fields(contexts.select("c", "low", "high"), "name bigint, bit bigint")), "repeats-windows")
-    shared = windows.groupBy("name").agg(F.min("low").alias("first"), F.max("high").alias("last")).where("first != last")
-    return windows.join(shared, "name").groupBy("c").agg(F.bit_or("bit").alias("mask"), F.min("first").alias("low"), F.max("last").alias("high"))
+    windows = saved(contexts.mapInArrow(run, with_fields(contexts.select("c", "low", "high"), "name bigint, a int")), "repeats-windows")
+    shared = windows.groupBy("name").agg(F.min("low").alias("first"), F.max("high").alias("last"), F.bit_xor("c").alias("class")).where("first != last")
+    # The windows at both ends of a stretch hold all its words.
+    stretches = windows.join(shared, "name").groupBy("c", "class").agg(F.min("first").alias("low"), F.max("last").alias("high"), F.min("a").alias("near"), F.max("a").alias("far"))
+    listed = F.collect_list(F.struct("near", "far", "class")).cast(STRETCHES)
+    return stretches.groupBy("c").agg(F.min("low").alias("low"), F.max("high").alias("high"), listed.alias("stretches"))
 
 
 def find_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least: int = LEAST, shingle: int = SHINGLE, hot: int = HOT) -> DataFrame:
-    """One row per row of ``docs``: ``id, n_repeated, spans, others``.
+    """One row per row of ``docs``: ``id, n_repeated, spans, others, shared``.
 
     A word is what stands between blanks, with A-Z in lower case. ``spans`` are the maximal runs ``(start, end)``
     of words, end exclusive, covered by windows of ``least`` words that a document with another id has too;
-    ``n_repeated`` counts their words, and ``others`` lists documents that share windows, one or more for every
-    matched place. Null and short texts have none; a null id is not compared.
+    ``n_repeated`` counts their words. ``shared`` are stretches ``(start, end, class)`` of at least ``least`` words:
+    all stretches of a class are the same words, and two documents share a window if and only if they have a
+    class in common, so all partners follow from the classes. ``others`` only names examples of them, one or more
+    for every matched place. Null and short texts have none; a null id is not compared.
     Rows that repeat id and text are one document; rows that only share the id have spans of their own but do
     not count as other documents. An empty table gives no rows; other columns are not read. Ids are numbers.
     """
@@ -152,27 +177,51 @@ def find_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least:
         matches = matches.unionByName(_dealt_matches(contexts.join(crowded, "h", "left_semi"), extra))
     hits = suffixes.select("id", "d", "pos", "c").join(saved(matches, "repeats-matches"), "c")
     other = F.when(F.col("low") == F.col("id"), F.col("high")).otherwise(F.col("low"))
-    hits = hits.groupBy("id", "d").agg(F.collect_set(F.struct("pos", "mask")).alias("places"), F.sort_array(F.collect_set(other)).alias("others"))
+    hits = hits.groupBy("id", "d").agg(F.collect_set(F.struct("pos", "stretches")).alias("places"), F.sort_array(F.collect_set(other)).alias("others"))
 
     def unite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.arange(extra + 1)
         for batch in batches:
+            places = batch.column("places")
+            flat = places.flatten()
+            stretches = flat.field("stretches")
+            each = stretches.flatten()
+            counts = stretches.value_lengths().to_numpy()
+            pos = np.repeat(flat.field("pos").to_numpy(), counts)
+            start, end = pos - each.field("far").to_numpy(), pos - each.field("near").to_numpy() + least
+            doc = np.repeat(np.repeat(np.arange(batch.num_rows), places.value_lengths().to_numpy()), counts)
+            order = np.lexsort((each.field("class").to_numpy(), end, start, doc))
+            start, end, classes, doc = start[order], end[order], each.field("class").to_numpy()[order], doc[order]
+            bounds = np.searchsorted(doc, np.arange(batch.num_rows + 1))
             spans = []
-            for places in batch.column("places").to_pylist():
-                pos, mask = np.array([p["pos"] for p in places]), np.array([p["mask"] for p in places])
-                begins = np.unique((pos[:, None] - bits)[(mask[:, None] >> bits) & 1 == 1])
-                breaks = np.flatnonzero(np.diff(begins) > least) + 1
-                spans.append([{"start": int(part[0]), "end": int(part[-1]) + least} for part in np.split(begins, breaks)])
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                reach = np.maximum.accumulate(end[a:b])
+                breaks = np.flatnonzero(start[a + 1 : b] > reach[:-1])
+                firsts, lasts = start[a:b][np.append(0, breaks + 1)], reach[np.append(breaks, b - a - 1)]
+                spans.append([{"start": int(x), "end": int(y)} for x, y in zip(firsts, lasts)])
+            shared = pa.StructArray.from_arrays([pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(classes)], ["start", "end", "class"])
             yield pa.RecordBatch.from_arrays(
-                [batch.column("id"), batch.column("d"), pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))), batch.column("others")], ["id", "d", "spans", "others"]
+                [
+                    batch.column("id"),
+                    batch.column("d"),
+                    pa.array(spans, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))),
+                    batch.column("others"),
+                    lists(shared, bounds),
+                ],
+                ["id", "d", "spans", "others", "shared"],
             )
 
     kind = rows.schema["id"].dataType.simpleString()
-    found = hits.mapInArrow(unite, with_fields(rows.select("id", "d"), f"spans array<struct<start:int,end:int>>, others array<{kind}>"))
+    found = hits.mapInArrow(unite, with_fields(rows.select("id", "d"), f"spans array<struct<start:int,end:int>>, others array<{kind}>, shared {SHARED}"))
     spans = F.coalesce("spans", F.array().cast("array<struct<start:int,end:int>>"))
     length = F.aggregate(spans, F.lit(0), lambda n, s: n + s["end"] - s["start"])
     return (
         rows.select("id", "d")
         .join(found, ["id", "d"], "left")
-        .select(F.col("id").alias(id), length.cast("bigint").alias("n_repeated"), spans.alias("spans"), F.coalesce("others", F.array().cast(f"array<{kind}>")).alias("others"))
+        .select(
+            F.col("id").alias(id),
+            length.cast("bigint").alias("n_repeated"),
+            spans.alias("spans"),
+            F.coalesce("others", F.array().cast(f"array<{kind}>")).alias("others"),
+            F.coalesce("shared", F.array().cast(SHARED)).alias("shared"),
+        )
     )

@@ -210,6 +210,23 @@ def test_repeats_against_brute_force(spark, hot):
     assert any(w[0] for w in want.values())
 
 
+@pytest.mark.parametrize("hot", [100_000, 2])
+def test_repeats_classes_give_all_partners(spark, hot):
+    rng = random.Random(11)
+    p = [f"w{i}" for i in range(40)]
+    texts = {i: " ".join([f"u{rng.randrange(10**6)}" for _ in range(rng.randrange(6))] + p[a : a + rng.randrange(8, 25)]) for i, a in enumerate(rng.randrange(25) for _ in range(60))}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    members, stretches = {}, {}
+    for r in repeats.find_repeats(docs, least=10, shingle=6, hot=hot).collect():
+        for start, end, name in r.shared:
+            members.setdefault(name, set()).add(r.doc_id)
+            stretches.setdefault(name, set()).add(tuple(words_of(texts[r.doc_id])[start:end]))
+    got = {i: set().union(*(m for m in members.values() if i in m)) - {i} for i in texts}
+    want = {i: w[1] for i, w in brute_repeats(texts, 10).items()}
+    assert got == want and max(map(len, want.values())) > 3
+    assert all(len(words) == 1 for words in stretches.values())
+
+
 def test_repeats_odd_inputs(spark):
     docs = odd_docs(spark)
     got = {(r.doc_id, r.n_repeated) for r in repeats.find_repeats(docs).collect()}
