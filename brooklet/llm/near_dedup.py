@@ -119,6 +119,10 @@ def _matrix(column: pa.Array, size: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype=np.uint16).reshape(-1, size)
 
 
+def _band_keys(table: pa.Table, how: MinHash) -> np.ndarray:
+    return table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, how.bands)
+
+
 def _prune(pairs: DataFrame, sigs: DataFrame, how: MinHash) -> DataFrame:
     """The pairs ``a, b`` that may reach the threshold, compared batch by batch of their signatures."""
     needed = how.needed()
@@ -178,7 +182,7 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("id"), F.col("v").alias("label")).union(edges.select(F.col("v").alias("id"), F.col("v").alias("label"))).distinct()
 
 
-def _survivors(left: np.ndarray, right: np.ndarray, same: bool, label: np.ndarray, sig: np.ndarray, band: int, how: MinHash) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def _survivors(left: np.ndarray, right: np.ndarray, same: bool, label: np.ndarray, sig: np.ndarray, bands: np.ndarray, band: int, how: MinHash) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Pairs of two blocks of a bucket with different labels that the signatures do not rule out. A pair that
     shares several buckets is left to the first of them."""
     needed = how.needed()
@@ -193,8 +197,7 @@ def _survivors(left: np.ndarray, right: np.ndarray, same: bool, label: np.ndarra
             matches += (sig[x, first:last] == sig[y, first:last]).sum(axis=1)
             alive = matches >= least
             x, y, matches = x[alive], y[alive], matches[alive]
-        same_bands = (sig[x] == sig[y]).reshape(-1, how.bands, how.rows).all(axis=2)
-        first_seen = same_bands.argmax(axis=1) == band
+        first_seen = (bands[x] == bands[y]).argmax(axis=1) == band
         yield x[first_seen], y[first_seen]
 
 
@@ -227,20 +230,20 @@ def _rest(rows: DataFrame, members: DataFrame, sigs: DataFrame, labels: DataFram
 
     def keep(table: pa.Table) -> pa.Table:
         table = table.sort_by([("bucket", "ascending")])
-        label, sig = table.column("label").to_numpy(), _matrix(table.column("sig"), how.size)
+        label, sig, bands = table.column("label").to_numpy(), _matrix(table.column("sig"), how.size), _band_keys(table, how)
         used = np.zeros(len(label), dtype=bool)
         for left, right, same, band in _buckets(table):
-            for x, y in _survivors(left, right, same, label, sig, band, how):
+            for x, y in _survivors(left, right, same, label, sig, bands, band, how):
                 used[x] = used[y] = True
         return table.filter(pa.array(used)).select(plain)
 
     def verify(table: pa.Table) -> pa.Table:
         table = table.sort_by([("bucket", "ascending")])
-        label, sig = table.column("label").to_numpy(), _matrix(table.column("sig"), how.size)
+        label, sig, bands = table.column("label").to_numpy(), _matrix(table.column("sig"), how.size), _band_keys(table, how)
         items = table.column("items").combine_chunks()
         found_a, found_b = [], []
         for left, right, same, band in _buckets(table):
-            pairs = list(_survivors(left, right, same, label, sig, band, how))
+            pairs = list(_survivors(left, right, same, label, sig, bands, band, how))
             x, y = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
             if not len(x):
                 continue
@@ -314,7 +317,7 @@ def link_near_copies(docs: DataFrame, how: MinHash = MinHash(), id: str = "doc_i
     pairs = members.where("id != centre").select(F.col("centre").alias("a"), F.col("id").alias("b")).distinct()
     links = saved(_verify(rows, saved(_prune(pairs, sigs, how), "near-pairs"), how), "near-links")
     labels = saved(components(links), "near-labels")
-    rest = saved(_rest(rows, members, sigs, labels, how), "near-rest-links")
+    rest = saved(_rest(rows, members, reps.select("id", "sig", "bands"), labels, how), "near-rest-links")
     if not rest.isEmpty():
         labels = saved(components(links.union(rest)), "near-labels")
     named = several.join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("k1", "k2", F.coalesce("label", "rep").alias("by_class"))

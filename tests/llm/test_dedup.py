@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from brooklet.llm.exact_dedup import drop_copies, find_copies
-from brooklet.llm.near_dedup import MinHash, components, drop_near_copies, link_near_copies
+from brooklet.llm.near_dedup import MinHash, _survivors, components, drop_near_copies, link_near_copies
 from tests.llm.odd import TEXTS, empty_docs, odd_docs
 
 
@@ -127,6 +127,16 @@ def test_pruning_bound_follows_the_posterior():
         assert least < 0.8 * last
 
 
+def test_rest_pairs_stay_with_their_first_true_band():
+    how = MinHash()
+    sig = np.zeros((2, how.size), np.uint16)  # all values agree in their 16 bits
+    bands = np.array([np.arange(how.bands), np.arange(how.bands) + 100])
+    bands[1, [3, 7]] = bands[0, [3, 7]]  # but only these bands do in truth
+    both, label = np.arange(2), np.array([0, 1])
+    found = {b: sum(len(x) for x, _ in _survivors(both, both, True, label, sig, bands, b, how)) for b in range(how.bands)}
+    assert found == {b: int(b == 3) for b in range(how.bands)}
+
+
 def test_components_of_long_chains(spark):
     links = spark.range(300).selectExpr("(id * 7) % 301 AS a", "((id + 1) * 7) % 301 AS b")
     assert {r.label for r in components(links).collect()} == {0}
