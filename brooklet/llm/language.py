@@ -105,16 +105,32 @@ class LanguageModel:
         return best, np.clip(score, 0, 1), shares
 
 
+def _rates(sizes: dict[str, int], most: int) -> dict[str, float]:
+    """The share of each label's rows to take, ``most`` rows in all: the same number of each, or all it has."""
+    rest, level = most, 0.0
+    for i, n in enumerate(sorted(sizes.values())):
+        level = rest / (len(sizes) - i)
+        if n > level:
+            break
+        rest -= n
+    return {name: min(1.0, level / n) for name, n in sizes.items()}
+
+
 def train(docs: DataFrame, label: str = "lang", id: str = "doc_id", text: str = "text", most: int = TRAIN_DOCS, smoothing: float = 0.5) -> LanguageModel:
     """A model of all labels in ``docs``; rows without label or text are passed over. Of more than ``most``
-    labelled rows about ``most`` are taken, chosen by the hash of their id. Without any row the model knows
-    no language and predicts none."""
+    labelled rows about ``most`` are taken, chosen by the hash of their id: of each label the same number, or
+    all rows of a label that has no more. Without any row the model knows no language and predicts none."""
     spark = docs.sparkSession
     small_batches(spark)
     labelled = docs.select(F.col(id).alias("id"), F.col(label).cast("string").alias("label"), F.col(text).alias("text")).where(F.col("label").isNotNull() & F.col("text").isNotNull())
-    total = docs.where(F.col(label).isNotNull()).count()
-    if total > most:
-        labelled = labelled.where(F.pmod(F.xxhash64("id"), F.lit(1 << 20)) < int(most / total * (1 << 20)))
+    known = docs.select(F.col(label).cast("string").alias("label")).where("label IS NOT NULL").groupBy("label").count()
+    sizes = {r[0]: r[1] for r in known.limit(MOST_LANGUAGES + 1).collect()}
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    if sum(sizes.values()) > most:
+        rates = _rates(sizes, most)
+        rate = F.create_map(*(F.lit(x) for pair in rates.items() for x in pair))[F.col("label")]
+        labelled = labelled.where(F.pmod(F.xxhash64("id"), F.lit(1 << 40)) < rate * (1 << 40))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}

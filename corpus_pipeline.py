@@ -20,8 +20,12 @@ LEAST_SHARE = 0.3  # of its main language, for a document to stay
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter go, and those in which no language reaches ``LEAST_SHARE``."""
-    return language.keep_identified(docs, language.train(docs), LEAST_SHARE)
+    """Documents without a letter go, and those in which no language reaches ``LEAST_SHARE``. Where no document
+    is labelled, no language is known and only the letter counts."""
+    model = language.train(docs)
+    if not model.languages:
+        return docs.where(language.has_letter(F.col("text")))
+    return language.keep_identified(docs, model, LEAST_SHARE)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

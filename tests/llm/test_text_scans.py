@@ -4,6 +4,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from brooklet.llm import decontaminate, language, repeats, secrets_scan
 from brooklet.llm.secrets_scan import ALL, BASE, Index, find_secrets, trigram_query
 from tests.conftest import DATA
@@ -159,6 +160,18 @@ def test_language_mixtures_and_odd_inputs(spark):
     assert language.predict(empty_docs(spark), model).count() == 0
 
 
+def test_language_sample_keeps_rare_labels(spark):
+    assert language._rates({"a": 1000, "b": 5, "c": 300}, 205) == {"a": 0.1, "b": 1.0, "c": 1 / 3}
+    docs = spark.range(3000).selectExpr("id AS doc_id", "if(id % 1500 = 7, 'rare', if(id % 2 = 0, 'even', 'odd')) AS lang", "concat('text ', id) AS text")
+    assert language.train(docs, most=20).languages == ["even", "odd", "rare"]
+    assert (language.train(docs, most=3000).probabilities == language.train(docs).probabilities).all()
+
+
+def test_language_stage_without_labels_keeps_letters(spark):
+    docs = spark.createDataFrame([(1, "some text"), (2, "12 34"), (3, None)], "doc_id bigint, text string").withColumn("lang", F.lit(None).cast("string"))
+    assert [r.doc_id for r in corpus_pipeline.identify_language(spark, docs, DATA).collect()] == [1]
+
+
 def test_language_sets_of_any_size(spark):
     rng = random.Random(12)
     say = {f"l{i}": "abcdefghijklmnopqrstuvwx"[3 * i : 3 * i + 3] for i in range(8)}
