@@ -19,6 +19,7 @@ from brooklet.llm.textkit import ALNUM, Words, byte_slices, fresh, lists, small_
 from brooklet.session import saved
 
 BLOCK_BYTES = 16 << 20  # item text that one block may hold
+CELLS = 64  # parts of a block that are weighed when blocks are filled
 
 
 class WindowSet:
@@ -56,6 +57,24 @@ class WindowSet:
         return found, [sorted(i, key=str) for i in items], hit
 
 
+def deal_blocks(listed: DataFrame, block_bytes: int) -> list[DataFrame]:
+    """The distinct rows ``item, text`` in blocks of at most ``block_bytes`` of text; only a part of the hash that
+    holds more by itself, as one longer item does, makes a larger block."""
+    listed = saved(listed.distinct(), "benchmark")
+    total = listed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if total <= block_bytes:
+        return [listed]
+    cell = F.pmod(F.xxhash64("item", "text"), F.lit(CELLS * (1 + total // block_bytes)))
+    bounds, held = [0], 0
+    for name, size in sorted(tuple(r) for r in listed.groupBy(cell).agg(F.sum(F.octet_length("text"))).collect()):
+        if held and held + size > block_bytes:
+            bounds.append(name)
+            held = 0
+        held += size
+    ends = [*bounds[1:], CELLS * (1 + total // block_bytes)]
+    return [listed.where((cell >= a) & (cell < b)) for a, b in zip(bounds, ends)]
+
+
 def _scan_block(rows: DataFrame, block: DataFrame, size: int, item_type: str) -> DataFrame:
     """``rows`` has ``id, key, text``. Returns ``id, key, n_words, hit_words, items``: positions of the words hit."""
     listed = block.collect()
@@ -101,11 +120,8 @@ def find_contamination(
     item_type = benchmark.select(item).dtypes[0][1]
     rows = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("key"), F.col(text).alias("text"))
     listed = benchmark.select(F.col(item).alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
-    total = listed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = 1 + total // block_bytes
-    block = F.pmod(F.xxhash64("item", "text"), F.lit(blocks))
-    parts = [_scan_block(rows, listed.where(block == b), size, item_type) for b in range(blocks)]
-    if blocks == 1:
+    parts = [_scan_block(rows, block, size, item_type) for block in deal_blocks(listed, block_bytes)]
+    if len(parts) == 1:
         found = parts[0]
     else:
         # Rows that share id and text give the same hits; the number of words brings the repeated rows back.

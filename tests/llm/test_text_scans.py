@@ -57,6 +57,14 @@ def test_contamination_against_brute_force(spark, benchmark_items, block_bytes):
     assert got == sorted(want, key=repr)
 
 
+def test_benchmark_blocks_are_bounded_by_their_bytes(spark):
+    listed = [(1, "the very same item " * 5)] * 500 + [(i, f"item {i} " * (1 + i % 9)) for i in range(2, 200)]
+    benchmark = spark.createDataFrame(listed, "item bigint, text string")
+    blocks = [[(r.item, r.text) for r in b.collect()] for b in decontaminate.deal_blocks(benchmark, 1000)]
+    assert len(blocks) > 1 and all(sum(len(t) for _, t in b) <= 1000 for b in blocks)
+    assert sorted(x for b in blocks for x in b) == sorted(set(listed))
+
+
 def test_contamination_is_removed(spark, benchmark_items):
     docs = odd_docs(spark)
     benchmark = spark.createDataFrame(benchmark_items, "item_id bigint, text string")
