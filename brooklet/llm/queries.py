@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.llm import chat_format, decontaminate, exact_dedup, language, near_dedup, packing, repeats, secrets_scan, token_counts, token_store
+from brooklet.llm import (
+    chat_format, cross_tokenizer, decontaminate, exact_dedup, language, line_dedup, near_dedup, packing, repeats, secrets_scan, spelling, token_counts, token_store,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -192,3 +194,74 @@ FROM normal WINDOW same AS (PARTITION BY t)
 @query("op10_exact_dedup", SQL_EXACT)
 def exact_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.find_copies(table(spark, folder, "documents"))
+
+
+# The CRC-32 of a text, bit by bit for the table of its 256 values and then byte by byte.
+SQL_SPELLING = r"""
+WITH RECURSIVE crc AS MATERIALIZED (
+  SELECT list(v ORDER BY i) AS tbl FROM (
+    SELECT i, list_reduce([i::BIGINT, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) r(i))
+), runs AS (
+  SELECT doc_id, w, count(*) AS c FROM (
+    SELECT doc_id, translate(unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]{5,}')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w FROM documents)
+  GROUP BY doc_id, w
+), hashed AS (
+  SELECT w, c, xor(list_reduce([4294967295::BIGINT] || list_transform(range(0, octet_length(s)), lambda k: ('0x' || hex(s)[2 * k + 1 : 2 * k + 2])::BIGINT), lambda a, b: xor(a >> 8, tbl[1 + (xor(a, b) & 255)])), 4294967295) AS h
+  FROM (SELECT w, c, encode(coalesce(doc_id::VARCHAR, '') || ':' || w) AS s FROM runs), crc
+), words AS (
+  SELECT word, sum(c)::BIGINT AS n FROM (
+    SELECT c, CASE WHEN h % 97 = 0 THEN substring(w, 1, h % length(w)) || substring(w, h % length(w) + 2) ELSE w END AS word FROM hashed)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(c) >= 3
+), less AS (
+  SELECT word, n, i, substring(word, 1, i - 1) || substring(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT DISTINCT a.word, b.word AS near, b.n AS near_n FROM less a JOIN less b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM less a JOIN words b ON a.rest = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n FROM near GROUP BY word
+), forms AS (
+  SELECT words.word, n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN near_n >= 2 * n THEN near END AS form, CASE WHEN near_n >= 2 * n THEN near_n END AS form_n
+  FROM words LEFT JOIN best USING (word)
+), way(word, root, form) AS (
+  SELECT word, word, form FROM forms UNION ALL SELECT way.word, way.form, forms.form FROM way JOIN forms ON forms.word = way.form
+)
+SELECT forms.word, forms.form, way.root, n, n_near, form_n FROM forms JOIN way ON way.word = forms.word AND way.form IS NULL
+"""
+
+
+def spoil(id: Column, run: Column) -> Column:
+    """Every 97th (document, run) loses the code point that its CRC-32 names."""
+    h = F.crc32(F.concat(F.coalesce(id.cast("string"), F.lit("")), F.lit(":"), run))
+    at = (h % F.length(run)).cast("int")
+    return F.when(h % 97 == 0, F.concat(F.substring(run, F.lit(1), at), F.substring(run, at + 2, F.length(run)))).otherwise(run)
+
+
+@query("op11_spelling_variants", SQL_SPELLING)
+def spelling_query(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.group_variants(spelling.word_counts(table(spark, folder, "documents"), change=spoil))
+
+
+@query("op12_cross_tokenizer")
+def cross_tokenizer_query(spark: SparkSession, folder: str) -> DataFrame:
+    return cross_tokenizer.count_links(table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+SQL_LINES = r"""
+WITH numbered AS (
+  SELECT doc_id, i, lines[i] AS line FROM (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents))
+), keyed AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM numbered
+), firsts AS (
+  SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1
+), marked AS (
+  SELECT doc_id, i, line, first IS NOT NULL AND first <> doc_id AS gone FROM keyed LEFT JOIN firsts USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, (count(*) FILTER (WHERE gone)) AS n_dropped, sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+
+@query("op13_line_dedup", SQL_LINES)
+def line_dedup_query(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.drop_repeated_lines(table(spark, folder, "documents")).select("doc_id", "n_lines", "n_dropped", hex_digest(F.col("text")).alias("kept_sha256"))

@@ -129,6 +129,9 @@ class Encoder:
             cls._made[path] = cls(path)
         return cls._made[path]
 
+    def _cuts(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        return cuts(data, offsets)
+
     def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [e.ids for e in self.library.encode_batch_fast(pieces, add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
@@ -139,7 +142,7 @@ class Encoder:
         data, offsets = raw_texts(column)
         if not len(data):
             return np.zeros(len(offsets), np.int64), np.zeros(0, self.dtype)
-        bounds = cuts(data, offsets)
+        bounds = self._cuts(data, offsets)
         hashes, first, codes = np.unique(span_hashes(data, bounds[:-1], bounds[1:]), return_index=True, return_inverse=True)
         bytes_of = bounds[first + 1] - bounds[first]
         entry = self.memo.find(hashes, bytes_of)
