@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from brooklet.session import saved
+from brooklet.session import on_discard, saved
 
 ROWS_PER_SLICE = 5_000_000
 BROADCAST_ROWS = 1_000_000
@@ -71,32 +71,63 @@ def count_slices(hot: DataFrame, limit: int) -> int:
     return hot.agg(F.sum(F.ceil(F.col("__n") / limit))).first()[0] or 0
 
 
-MOST_CUTS = 2_000  # slices of one key
+MOST_CUTS = 2_000  # quantiles taken in one pass; beyond, every slice is cut again in a second one
 
-# What probes have found, by session, input, keys, order column and limit. Any bounds give right results, so a
-# table that has changed meanwhile only makes slices uneven.
+# What the latest probes have found, by session, input, keys, order column and limit. Any bounds give right results,
+# so a table that has changed meanwhile only makes slices uneven.
+MOST_PROBES = 256
 _PROBES: dict[tuple, Any] = {}
+on_discard(_PROBES.clear)
 
 
 def _quantiles(pos: Column, slices: int) -> Column:
     return F.percentile_approx(pos, F.array(*[F.lit(i / slices) for i in range(1, slices)]), 10_000)
 
 
-def probe_keys(probe: DataFrame, keys: list[str], slice_on: str, limit: int) -> tuple[DataFrame | None, int]:
+def _doubles(values: list[float]) -> Column:
+    """A constant array, however long, as one literal."""
+    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
+
+
+def place_in(df: DataFrame, bounds: str, value: Column, most: int, name: str) -> DataFrame:
+    """Add ``name``: how many of the ascending values of the array ``bounds`` (``most`` at most) are below ``value``.
+
+    A binary search, one projection a step: each looks at one bound.
+    """
+    df = df.withColumns({"__value": value, name: F.lit(0)})
+    step = 1 << max(most, 1).bit_length() - 1
+    while step:
+        below = F.get(bounds, F.col(name) + (step - 1)) < F.col("__value")
+        df = df.withColumn(name, F.when(below, F.col(name) + step).otherwise(F.col(name)))
+        step //= 2
+    return df.drop("__value")
+
+
+def probe_keys(probe: DataFrame, keys: list[str], slice_on: str, limit: int) -> tuple[DataFrame | None, int, int]:
     """The keys with more than ``limit`` rows and their slice bounds ``(__k0.., __bounds)``, None if there are
-    none, and how many slices they make."""
+    none, how many slices they make, and the most bounds of one key."""
     pos = position(probe, slice_on).cast("double")
     names = [f"__k{i}" for i in range(len(keys))]
     counts = probe.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit)
     most, keys_found = counts.agg(F.max("__n"), F.count(F.lit(1))).first()
     if not keys_found:
-        return None, 0
-    slices = min(MOST_CUTS, max(2, math.ceil(most / limit)))
+        return None, 0, 0
+    slices = max(2, math.ceil(most / limit))
+    coarse = min(slices, MOST_CUTS)
     hot = counts.select(*names)
     rows = probe.select(*[F.col(k).alias(f"__p{i}") for i, k in enumerate(keys)], pos.alias("__pos"))
     match = null_safe([rows[f"__p{i}"] for i in range(len(keys))], [hot[n] for n in names])
-    bounds = rows.join(broadcast_if_small(hot, keys_found), match).groupBy(*names).agg(_quantiles(F.col("__pos"), slices).alias("__bounds"))
-    return saved(bounds, "hot-keys"), keys_found * slices
+    rows = rows.join(broadcast_if_small(hot, keys_found), match).select(*names, "__pos")
+    bounds = rows.groupBy(*names).agg(_quantiles(F.col("__pos"), coarse).alias("__bounds"))
+    if slices > coarse:
+        fine = math.ceil(slices / coarse)
+        other = bounds.select(*[F.col(n).alias(f"__b{i}") for i, n in enumerate(names)], "__bounds")
+        joined = rows.join(broadcast_if_small(other, keys_found * coarse), null_safe([rows[n] for n in names], [other[f"__b{i}"] for i in range(len(names))]))
+        cut = place_in(joined.select(*names, "__pos", "__bounds"), "__bounds", F.col("__pos"), coarse, "__part")
+        inner = cut.groupBy(*names, "__part").agg(F.concat(F.array(F.max("__pos")), _quantiles(F.col("__pos"), fine)).alias("__more"))
+        bounds = inner.groupBy(*names).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("__more")))).alias("__bounds"))
+        slices = coarse * (fine + 1)
+    return saved(bounds, "hot-keys"), keys_found * slices, slices
 
 
 def probe_sequence(probe: DataFrame, slice_on: str, limit: int) -> list[float]:
@@ -108,10 +139,16 @@ def probe_sequence(probe: DataFrame, slice_on: str, limit: int) -> list[float]:
     if not n or marks is None:
         return []
     slices = max(2, tasks, math.ceil(n / limit))
-    if slices > fine:
-        marks, fine = probe.agg(_quantiles(pos, min(slices, MOST_CUTS))).first()[0], min(slices, MOST_CUTS)
-    slices = min(slices, fine)
-    return sorted({marks[round(i * fine / slices) - 1] for i in range(1, slices)})
+    if slices <= fine:
+        return sorted({marks[round(i * fine / slices) - 1] for i in range(1, slices)})
+    coarse = min(slices, MOST_CUTS)
+    marks = sorted(set(probe.agg(_quantiles(pos, coarse)).first()[0]))
+    if slices > coarse:
+        rows = probe.select(pos.alias("__pos"), _doubles(marks).alias("__bounds"))
+        cut = place_in(rows, "__bounds", F.col("__pos"), len(marks), "__part")
+        more = cut.groupBy("__part").agg(_quantiles(F.col("__pos"), math.ceil(slices / coarse) + 1).alias("__more"))
+        marks = sorted({*marks, *(m for r in more.collect() for m in r["__more"] or [])})  # one number a slice
+    return marks
 
 
 def broadcast_if_small(df: DataFrame, rows: int) -> DataFrame:
@@ -309,24 +346,25 @@ class Ordered:
         session = probe.sparkSession.sparkContext.applicationId
         known = (session, probe.semanticHash(), tuple(probe.columns), tuple(self.keys), slice_on, limit)
         if known not in _PROBES:
+            while len(_PROBES) >= MOST_PROBES:
+                _PROBES.pop(next(iter(_PROBES)))
             _PROBES[known] = probe_keys(probe, self.keys, slice_on, limit) if self.keys else probe_sequence(probe, slice_on, limit)
         if self.keys:
-            hot, self.slices = _PROBES[known]
+            hot, self.slices, most = _PROBES[known]
             if hot is None:
                 return
             names = [f"__k{i}" for i in range(len(self.keys))]
             bounds = broadcast_if_small(hot, self.slices)
             joined = df.join(bounds, null_safe([df[k] for k in self.keys], [bounds[n] for n in names]), "left")
-            at = F.size(F.filter("__bounds", lambda b: b < own)).cast("long")
-            is_hot = F.col("__bounds").isNotNull()
-            cut = joined.select(*[df[c] for c in df.columns], is_hot.alias(_HOT), F.when(is_hot, at).otherwise(F.lit(0).cast("long")).alias(_SLICE))
+            joined = joined.select(*[df[c] for c in df.columns], "__bounds")
+            cut = place_in(joined, "__bounds", own, most, _SLICE).withColumn(_HOT, F.col("__bounds").isNotNull()).drop("__bounds")
         else:
             marks = _PROBES[known]
             if not marks:
                 return
             self.slices = len(marks) + 1
-            at = F.size(F.filter(F.array(*[F.lit(m) for m in marks]), lambda b: b < own)).cast("long")
-            cut = df.withColumns({_HOT: F.lit(True), _SLICE: at})
+            marked = df.withColumns({_HOT: F.lit(True), "__bounds": _doubles(marks)})
+            cut = place_in(marked, "__bounds", own, len(marks), _SLICE).drop("__bounds")
         # Both readers of the shuffle must ask for the same columns to share it; the observation needs them all.
         dealt = cut.repartition(*self.keys, _HOT, _SLICE)
         never = F.when(F.col(_SLICE) < 0, F.struct(*[F.col(f"`{c}`") for c in dealt.columns]))

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from brooklet.session import STATE_STORE, shared_folder
+from brooklet.session import STATE_STORE, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -43,7 +42,7 @@ class Tables:
 
     def fresh_path(self, name: str) -> str:
         """A new folder for files derived from the tables."""
-        return f"{shared_folder(self.spark)}/{name}-{uuid.uuid4().hex}"
+        return scratch(self.spark, name)
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Callable[[Tables], DataFrame]], Callable[[Tables], DataFrame]]:

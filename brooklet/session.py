@@ -6,6 +6,7 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,20 +47,41 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 _SAVED: list[str] = []
+_ON_DISCARD: list[Callable[[], None]] = []
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, known to ``discard_saved``."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _SAVED.append(path)
+    return path
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to a new table in the shared folder and read back: it is computed once, however often
     the result is used, and a lost executor costs a read, not a recomputation."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = scratch(df.sparkSession, name)
     df.write.parquet(path)
-    _SAVED.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard_saved(spark: SparkSession) -> None:
-    """Delete the tables that ``saved`` has written in this process; frames that read them end with that."""
+def saved_paths() -> list[str]:
+    """What has been written and not discarded, oldest first."""
+    return list(_SAVED)
+
+
+def on_discard(forget: Callable[[], None]) -> None:
+    """Call ``forget`` before anything is discarded; for what keeps frames that read such tables."""
+    _ON_DISCARD.append(forget)
+
+
+def discard_saved(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete the tables written in this process, or only those at ``paths``; frames that read them end with that."""
+    for forget in _ON_DISCARD:
+        forget()
     hadoop = spark._jsc.hadoopConfiguration()
-    while _SAVED:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_SAVED.pop())
+    for name in [*_SAVED] if paths is None else paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
         path.getFileSystem(hadoop).delete(path, True)
+        if name in _SAVED:
+            _SAVED.remove(name)
