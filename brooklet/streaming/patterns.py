@@ -3,102 +3,79 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
-from brooklet.functions.scalars import epoch_ms
 from brooklet.operators.patterns import Pattern
+from brooklet.streaming.compare import compiled
+from brooklet.streaming.intime import InTimeOrder, State, as_json, from_json_rows, packed_rows, run_in_time_order
 
 
-class PatternProcessor(StatefulProcessor):
+class PatternProcessor(InTimeOrder):
     """Keeps the open matches of a key: the step each waits for, when it began and the rows taken so far.
 
-    Rows come with one flag per step and their columns as JSON. An open match is at most ``within`` old, which
-    bounds the state.
+    Rows come with one flag per step and their columns as JSON; a step that compares with the start row has a
+    function of the two rows instead. An open match is at most ``within`` old, which bounds the state.
     """
 
-    def __init__(self, strict: list[bool], within_ms: int, order: list[str], names: list[str]):
-        self.strict, self.within, self.order, self.names = strict, within_ms, order, names
+    def __init__(self, strict: list[bool], compare: list[Callable[[dict, dict], bool] | None], within_ms: int, orders: int, names: list[str]):
+        super().__init__(names, orders)
+        self.strict, self.compare, self.within = strict, compare, within_ms
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.state = handle.getValueState("open", "value string")
+    def start(self) -> State:
+        return {"open": []}
 
     def _row(self, outcome: str, taken: list[str]) -> tuple:
         return (outcome, *taken, *[None] * (len(self.strict) - len(taken)))
 
-    def _store(self, waiting: list) -> None:
-        if not waiting:
-            self.state.clear()
-            return
-        self.state.update((json.dumps(waiting),))
-
-    def _load(self) -> list:
-        return json.loads(self.state.get()[0]) if self.state.exists() else []
-
-    def _step(self, one: list, ms: int, flags: list[bool], row: str) -> tuple[list | None, tuple | None]:
+    def _step(self, one: list, ms: int, values: dict) -> tuple[list | None, tuple | None]:
         """What becomes of an open match at a row, and what it gives out."""
         step, began, taken = one
         if ms - began >= self.within:
             return None, self._row("timeout", taken)
-        if not flags[step]:
+        compare = self.compare[step]
+        fits = values.get(f"step{step}", False) if compare is None else compare(json.loads(values["row"]), json.loads(taken[0]))
+        if not fits:
             return (None if self.strict[step] else one), None
-        taken = [*taken, row]
+        taken = [*taken, values["row"]]
         return (None, self._row("matched", taken)) if len(taken) == len(self.strict) else ([step + 1, began, taken], None)
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values(["row_ms", *self.order], kind="stable")
-        waiting, out = self._load(), []
-        steps = len(self.strict)
-        for ms, row, *flags in batch[["row_ms", "row_json", *[f"step{i}" for i in range(steps)]]].itertuples(index=False, name=None):
-            results = [self._step(one, int(ms), flags, row) for one in waiting]
-            waiting = [one for one, _ in results if one is not None]
-            out.extend(o for _, o in results if o is not None)
-            if flags[0]:
-                if steps == 1:
-                    out.append(self._row("matched", [row]))
-                else:
-                    waiting.append([1, int(ms), [row]])
-        self._store(waiting)
-        # A timer for each begin: all that are due fire in one batch, and one whose match is over finds nothing.
-        for began in {began for _, began, _ in waiting}:
-            self.handle.registerTimer(began + self.within)
-        yield from self._frame(key, out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        now, waiting = expiredTimerInfo.getExpiryTimeInMs(), self._load()
-        out = [self._row("timeout", taken) for _, began, taken in waiting if began + self.within <= now]
-        if out:
-            self._store([one for one in waiting if one[1] + self.within > now])
-        yield from self._frame(key, out)
-
-    def _frame(self, key: tuple, out: list[tuple]) -> Iterator[pd.DataFrame]:
-        if out:
-            yield pd.DataFrame([key + o for o in out], columns=self.names)
-
-    def close(self) -> None:
-        pass
+    def take(self, state, ms, values):
+        results = [self._step(one, ms, values) for one in state["open"]]
+        state["open"] = [one for one, _ in results if one is not None]
+        out = [o for _, o in results if o is not None]
+        if values.get("step0", False):
+            if len(self.strict) == 1:
+                out.append(self._row("matched", [values["row"]]))
+            else:
+                state["open"].append([1, ms, [values["row"]]])
+        return out
+
+    def pass_time(self, state, mark):
+        over = [one for one in state["open"] if one[1] + self.within < mark]
+        state["open"] = [one for one in state["open"] if one[1] + self.within >= mark]
+        return [self._row("timeout", taken) for _, _, taken in over]
+
+    def due(self, state):
+        return min((one[1] + self.within for one in state["open"]), default=None)
 
 
 def match_stream(df: DataFrame, keys: list[str], order: list[str], ts: str, pattern: Pattern, columns: list[str], delay_ms: int = 0) -> DataFrame:
-    """Streaming form of ``patterns.match`` with the same columns. A start still open when the watermark has passed
-    ``within`` comes out as ``timeout``. ``within`` is needed, and conditions may look at one row only."""
+    """Streaming form of ``patterns.match`` with the same columns and, but for rows later than ``delay_ms``, the same
+    result. Rows are taken in the order of ``ts`` and ``order``, once the watermark has passed them; a start still open
+    when it has passed ``within`` comes out as ``timeout``. ``within`` is needed: it bounds the state. A condition that
+    compares with the start row may use what ``compare`` knows."""
     if pattern.within_ms is None:
         raise ValueError("a pattern on a stream needs within: it bounds the state")
-    if any(s.uses_start for s in pattern.steps):
-        raise ValueError("a condition that compares with the start row has no streaming form")
-    timed = df.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, f"{delay_ms} milliseconds")
-    flags = [F.coalesce(s.condition(F.col), F.lit(False)).alias(f"step{i}") for i, s in enumerate(pattern.steps)]
+    compare = [compiled(s.condition) if s.uses_start else None for s in pattern.steps]
+    values = {f"step{i}": F.coalesce(s.condition(F.col), F.lit(False)) for i, s in enumerate(pattern.steps) if not s.uses_start}
     extra = [c for c in order if c not in keys]
-    rows = timed.select(*keys, *extra, ts, epoch_ms(F.col(ts)).alias("row_ms"), F.to_json(F.struct(*columns)).alias("row_json"), *flags)
+    rows = packed_rows(df, keys, extra, ts, delay_ms, {**values, "row": as_json(columns)})
     names = [s.name for s in pattern.steps]
     schema = T.StructType([*[df.schema[k] for k in keys], *[T.StructField(n, T.StringType()) for n in ("outcome", *names)]])
-    processor = PatternProcessor([s.strict for s in pattern.steps], pattern.within_ms, extra, schema.fieldNames())
-    found = rows.groupBy(*keys).transformWithStateInPandas(processor, outputStructType=schema, outputMode="append", timeMode="EventTime")
-    kind = T.StructType([T.StructField(c, df.schema[c].dataType) for c in columns])
-    return found.select(*keys, "outcome", *[F.from_json(n, kind).alias(n) for n in names])
+    processor = PatternProcessor([s.strict for s in pattern.steps], compare, pattern.within_ms, len(extra), schema.fieldNames())
+    found = run_in_time_order(rows, keys, processor, schema)
+    return found.select(*keys, "outcome", *[from_json_rows(n, df, columns) for n in names])
