@@ -39,12 +39,20 @@ def matching_rule(
 ) -> DataFrame:
     """Records whose key's previous action and own action are the two of the latest rule, with the rule's ``payload``."""
     before = Ordered(df, keys, [ts, id_col]).scan(prev_action=Last(action)).result()
-    rows = with_latest_rule(before, rules, ts, id_col, [first, second, *payload])
-    hit = (F.col("prev_action") == F.col("rule")[first]) & (F.col(action) == F.col("rule")[second])
-    return rows.where(hit).select(*df.columns, "prev_action", *[F.col("rule")[c].alias(c) for c in payload])
+    return hit_by_latest_rule(before, rules, ts, id_col, action, first, second, payload)
+
+
+def hit_by_latest_rule(
+    df: DataFrame, rules: DataFrame, ts: str, id_col: str, action: str, first: str, second: str, payload: list[str], prev: str = "prev_action"
+) -> DataFrame:
+    """The same for records that have their key's previous action in ``prev``."""
+    rows = with_latest_rule(df, rules, ts, id_col, [first, second, *payload])
+    hit = (F.col(prev) == F.col("rule")[first]) & (F.col(action) == F.col("rule")[second])
+    return rows.where(hit).select(*df.columns, *[F.col("rule")[c].alias(c) for c in payload])
 
 
 def apply_rules_batch(records: DataFrame, rules_path: str, join: Column, how: str = "left") -> DataFrame:
-    """For ``foreachBatch``: join a micro-batch with the rules table as it is now (re-read every time)."""
+    """For ``foreachBatch``: join a micro-batch with the rules table as it is now (re-read every time). ``join`` should
+    compare columns of both sides for equality: other conditions look at every rule for every record."""
     rules = records.sparkSession.read.parquet(rules_path)
     return records.alias("d").join(rules.alias("r"), join, how)
