@@ -15,14 +15,19 @@ from brooklet.operators.ordered import Count, Max, Next, Ordered, Sum
 from brooklet.operators.windows import with_window
 
 
-def _watermarked(df: DataFrame, ts: str, arrival: list[str], delay_ms: int, probe: DataFrame | None = None) -> Ordered:
+def _watermarked(df: DataFrame, ts: str, arrival: list[str], delay_ms: int, probe: DataFrame | None = None, seen_ms: int | None = None) -> Ordered:
     rows = Ordered(df, [], arrival, probe=probe).scan(__seen=Max(epoch_ms(F.col(ts)), inclusive=False))
+    if seen_ms is not None:
+        rows = rows.with_columns(__seen=F.greatest(F.col("__seen"), F.lit(seen_ms)))
     return rows.with_columns(watermark=F.col("__seen") - delay_ms - 1)
 
 
-def replay_watermark(df: DataFrame, ts: str, arrival: list[str], delay_ms: int = 0, probe: DataFrame | None = None) -> DataFrame:
-    """Add ``watermark`` in epoch milliseconds, null before the first row. Delay 0: monotonous time stamps."""
-    return _watermarked(df, ts, arrival, delay_ms, probe).result().drop("__seen")
+def replay_watermark(
+    df: DataFrame, ts: str, arrival: list[str], delay_ms: int = 0, probe: DataFrame | None = None, seen_ms: int | None = None
+) -> DataFrame:
+    """Add ``watermark`` in epoch milliseconds, null before the first row. Delay 0: monotonous time stamps.
+    ``seen_ms`` is the largest event time before ``df``, where the rows go on a sequence."""
+    return _watermarked(df, ts, arrival, delay_ms, probe, seen_ms).result().drop("__seen")
 
 
 def with_stream_watermark(df: DataFrame, ts: str, delay_ms: int = 0) -> DataFrame:
@@ -42,10 +47,10 @@ def _late_for_window(lateness_ms: int = 0) -> Column:
 
 
 def split_window_late(
-    df: DataFrame, ts: str, arrival: list[str], delay_ms: int, size_ms: int, probe: DataFrame | None = None
+    df: DataFrame, ts: str, arrival: list[str], delay_ms: int, size_ms: int, probe: DataFrame | None = None, seen_ms: int | None = None
 ) -> DataFrame:
     """Tag each row ``late`` if its window has already fired, else ``normal``; adds ``w_start``, ``w_end``."""
-    rows = with_window(replay_watermark(df, ts, arrival, delay_ms, probe), ts, size_ms)
+    rows = with_window(replay_watermark(df, ts, arrival, delay_ms, probe, seen_ms), ts, size_ms)
     return rows.withColumn("tag", F.when(_late_for_window(), F.lit("late")).otherwise(F.lit("normal")))
 
 

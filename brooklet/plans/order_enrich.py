@@ -18,28 +18,23 @@ DETAIL = "id long, order_id long, sku long, supplier long, amount int, money dou
 MAIN = "oid long, create_time timestamp, total_money double, status string, province string"
 
 
-def enrich_orders(
-    details: DataFrame,
-    mains: DataFrame,
-    orders: DataFrame,
-    detail_arrival: list[str],
-    main_arrival: list[str],
-    delay_ms: int = 2000,
-    size_ms: int = 5000,
-) -> DataFrame:
-    """``details`` and ``mains`` hold an ``envelope`` and their arrival columns; ``orders`` is the lookup
-    table ``(oid, total_money, status, province)``.
+def decoded_details(details: DataFrame, arrival: list[str], delay_ms: int, size_ms: int, seen_ms: int | None = None) -> DataFrame:
+    """Detail rows with their window and ``tag`` (``late`` or ``normal``)."""
+    lines = cdc_rows(details, "envelope", DETAIL, keep=tuple(arrival))
+    return split_window_late(lines, "create_time", arrival, delay_ms, size_ms, probe=details, seen_ms=seen_ms).withColumnRenamed("type", "change")
 
-    The result has the detail columns, ``via`` (``window``, ``miss`` or ``late``) and the order's columns.
-    """
-    lines = cdc_rows(details, "envelope", DETAIL, keep=tuple(detail_arrival))
-    lines = split_window_late(lines, "create_time", detail_arrival, delay_ms, size_ms, probe=details)
-    heads = cdc_rows(mains, "envelope", MAIN, keep=tuple(main_arrival))
-    heads = split_window_late(heads, "create_time", main_arrival, delay_ms, size_ms, probe=mains).where("tag = 'normal'")
 
+def decoded_mains(mains: DataFrame, arrival: list[str], delay_ms: int, size_ms: int, seen_ms: int | None = None) -> DataFrame:
+    """Order rows that come in time for their window."""
+    heads = cdc_rows(mains, "envelope", MAIN, keep=tuple(arrival))
+    return split_window_late(heads, "create_time", arrival, delay_ms, size_ms, probe=mains, seen_ms=seen_ms)
+
+
+def complete(lines: DataFrame, heads: DataFrame, orders: DataFrame, arrival: list[str]) -> DataFrame:
+    """Join details with the orders of their window, and the rest with the order table."""
     # A late detail meets no order in its window: it gets a window number no order has.
     slot = F.when(F.col("tag") == "late", -1 - F.col("w_start")).otherwise(F.col("w_start"))
-    lines = lines.withColumn("slot", slot).withColumnRenamed("type", "change").drop("watermark", "w_start", "w_end", *detail_arrival)
+    lines = lines.withColumn("slot", slot).drop("watermark", "w_start", "w_end", *arrival)
     found = heads.select(
         F.col("oid").alias("order_id"),
         F.col("w_start").alias("slot"),
@@ -58,3 +53,22 @@ def enrich_orders(
         order["status"].alias("status"),
         order["province"].alias("province"),
     )
+
+
+def enrich_orders(
+    details: DataFrame,
+    mains: DataFrame,
+    orders: DataFrame,
+    detail_arrival: list[str],
+    main_arrival: list[str],
+    delay_ms: int = 2000,
+    size_ms: int = 5000,
+) -> DataFrame:
+    """``details`` and ``mains`` hold an ``envelope`` and their arrival columns; ``orders`` is the lookup
+    table ``(oid, total_money, status, province)``.
+
+    The result has the detail columns, ``via`` (``window``, ``miss`` or ``late``) and the order's columns.
+    """
+    lines = decoded_details(details, detail_arrival, delay_ms, size_ms)
+    heads = decoded_mains(mains, main_arrival, delay_ms, size_ms).where("tag = 'normal'")
+    return complete(lines, heads, orders, detail_arrival)
