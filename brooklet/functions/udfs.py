@@ -33,7 +33,8 @@ def price_total(price: pa.Array) -> float:
 
 @udtf(returnType=T.StructType([T.StructField("field", T.StringType()), T.StructField("length", T.IntegerType())]))
 class FieldLengths:
-    """Table function: the space-separated fields of a string and their lengths."""
+    """Table function: the space-separated fields of a string and their lengths in code points (a character beyond
+    U+FFFF is one, where UTF-16 counts two)."""
 
     def eval(self, text: str):
         for field in (text or "").split(" "):

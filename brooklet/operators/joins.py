@@ -2,41 +2,78 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.operators.ordered import broadcast_if_small, count_slices, rows_per_slice
+from brooklet.operators.ordered import MOST_PROBES, broadcast_if_small, rows_per_slice
 from brooklet.operators.windows import with_window
+from brooklet.session import on_discard, saved
+
+
+# Hot keys found by the latest joins, by session, both inputs, keys and limit; see ordered._PROBES.
+_HOT_KEYS: dict[tuple, tuple[DataFrame, int] | None] = {}
+on_discard(_HOT_KEYS.clear)
+
+
+def _hot_keys(left: DataFrame, right: DataFrame, on: list[str], limit: int) -> tuple[DataFrame, int] | None:
+    """Keys with more than ``limit`` rows on a side, as ``(__k0.., __rows, __cols)``: into how many parts each side is cut;
+    and how many cells that makes. One aggregation over the keys of both inputs finds them."""
+    known = (left.sparkSession.sparkContext.applicationId, left.semanticHash(), right.semanticHash(), *left.columns, *right.columns, *on, limit)
+    if known not in _HOT_KEYS:
+        while len(_HOT_KEYS) >= MOST_PROBES:
+            _HOT_KEYS.pop(next(iter(_HOT_KEYS)))
+        names = [f"__k{i}" for i in range(len(on))]
+        sides = [df.dropna(subset=on).select(*[F.col(c).alias(n) for c, n in zip(on, names)], F.lit(side).alias("__side")) for side, df in enumerate((left, right))]
+        parts = [F.ceil(F.count(F.when(F.col("__side") == side, 1)) / limit).cast("int").alias(name) for side, name in ((0, "__rows"), (1, "__cols"))]
+        hot = sides[0].unionByName(sides[1]).groupBy(*names).agg(*parts).where("__rows > 1 OR __cols > 1")
+        cells = hot.agg(F.sum(F.greatest("__rows", F.lit(1)) * F.greatest("__cols", F.lit(1)))).first()[0]
+        _HOT_KEYS[known] = (saved(hot, "hot-join-keys"), cells) if cells else None
+    return _HOT_KEYS[known]
 
 
 def salted_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
-    """Equi-join (``inner`` or ``left``) that spreads the hot keys of ``left``.
+    """Equi-join (``inner`` or ``left``) that cuts the hot keys of both sides.
 
-    A probe counts the left rows per key. Keys with more than ``spark.brooklet.rowsPerSlice`` of them are
-    spread over enough salts to get below it; only their right rows are copied, once per salt. All other
-    keys join as they are, and without a hot key this is a plain join.
+    The left rows of a key with more than ``spark.brooklet.rowsPerSlice`` rows on a side are cut into parts below that
+    number, and so are its right rows: every pair of parts is a cell of a grid, joined on its own, and a row is
+    copied once for each part of the other side. All other keys are one cell. In a left join a row of a cut key
+    whose cell is empty on the right is left to the other cells: the key has right rows, so it meets some. Rows
+    with a null key meet nothing and are spread at random. Without a hot key this is a plain join.
     """
     limit = rows_per_slice(left)
-    names = [f"__k{i}" for i in range(len(on))]
-    hot = left.dropna(subset=on).groupBy(*on).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > limit)
-    salts = count_slices(hot, limit)
-    if not salts:
+    found = _hot_keys(left, right, on, limit)
+    if found is None:
         return left.join(right, on, how)
-    hot = broadcast_if_small(
-        hot.select(*[F.col(c).alias(n) for c, n in zip(on, names)], F.ceil(F.col("__n") / limit).cast("int").alias("__salts")), salts
-    )
+    hot, cells = found
+    hot = broadcast_if_small(hot, cells)
+    names = [f"__k{i}" for i in range(len(on))]
 
-    def with_salts(df: DataFrame) -> DataFrame:
+    def with_parts(df: DataFrame) -> DataFrame:
         match = F.lit(True)
         for c, n in zip(on, names):
             match = match & (df[c] == hot[n])
-        return df.join(hot, match, "left").select(*[df[c] for c in df.columns], "__salts")
+        return df.join(hot, match, "left").select(*[df[c] for c in df.columns], "__rows", "__cols")
+
+    def part(df: DataFrame, parts: str) -> Column:
+        """A row's own part, by its content."""
+        return F.coalesce(F.pmod(F.xxhash64(*df.columns), F.greatest(F.col(parts), F.lit(1))), F.lit(0)).cast("int")
 
-    spread = F.pmod(F.xxhash64(*left.columns), F.col("__salts"))
-    salted = with_salts(left).withColumn("__salt", F.coalesce(spread, F.lit(0)).cast("int")).drop("__salts")
-    copies = F.sequence(F.lit(0), F.coalesce(F.col("__salts"), F.lit(1)) - 1)
-    copied = with_salts(right).withColumn("__salt", F.explode(copies)).drop("__salts")
-    return salted.join(copied, [*on, "__salt"], how).drop("__salt")
+    def each(parts: str) -> Column:
+        """A copy for every part of the other side."""
+        return F.explode(F.sequence(F.lit(0), F.greatest(F.coalesce(F.col(parts), F.lit(1)), F.lit(1)) - 1))
+
+    alone = F.lit(False)
+    for c in on:
+        alone = alone | F.col(c).isNull()
+    lone = F.pmod(F.xxhash64(*left.columns), F.lit(1 << 20)).cast("int")
+    rows = with_parts(left).withColumns({"__i": F.when(alone, lone).otherwise(part(left, "__rows")), "__cut": F.coalesce(F.col("__cols") > 1, F.lit(False))})
+    rows = rows.withColumn("__j", each("__cols")).drop("__rows", "__cols")
+    cols = with_parts(right).withColumn("__j", part(right, "__cols")).withColumn("__i", each("__rows")).drop("__rows", "__cols")
+    joined = rows.join(cols.withColumn("__met", F.lit(True)), [*on, "__i", "__j"], how)
+    return joined.where(~F.col("__cut") | F.col("__met")).drop("__i", "__j", "__cut", "__met")
 
 
 def window_join(
@@ -76,3 +113,24 @@ def lookup(df: DataFrame, table: DataFrame, keys: dict[str, str], prefix: str =
 def lateral(df: DataFrame, call: Column | DataFrame, how: str = "inner") -> DataFrame:
     """Join every row with the rows a table function returns for it (``inner`` or ``left``)."""
     return df.lateralJoin(call, how=how)
+
+
+def join_with(joined: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
+    """A user function over the pairs of a join, batch by batch: a row of ``joined`` has the columns of both sides."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield fn(batch)
+
+    return joined.mapInPandas(run, schema)
+
+
+def window_cogroup(
+    left: DataFrame, right: DataFrame, keys: list[str], left_ts: str, right_ts: str, size_ms: int, fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str
+) -> DataFrame:
+    """A user function that gets all left and all right rows of a key and tumbling window, either of them perhaps
+    none. It sees a group as a whole, so a group has to fit into a task; ``window_join`` has no such bound."""
+    l, r = with_window(left, left_ts, size_ms), with_window(right, right_ts, size_ms)
+    group = [*keys, "w_start"]
+    return l.groupBy(*group).cogroup(r.groupBy(*group)).applyInPandas(fn, schema)

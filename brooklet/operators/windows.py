@@ -41,6 +41,23 @@ def count_slide(df: DataFrame, keys: list[str], order: list[str], size: int, sli
     return sent.groupBy(*keys, "fire").agg(F.max("__rn").alias("__last"), *aggs).where(F.col("__last") == F.col("fire")).drop("__last")
 
 
+def count_slide_partials(
+    df: DataFrame, keys: list[str], order: list[str], size: int, slide: int, partial: dict[str, Column], merge: dict[str, Column]
+) -> DataFrame:
+    """``count_slide`` where ``slide`` divides ``size``, by partial aggregates: ``partial`` over the rows of a slide, then
+    ``merge`` over the ``size / slide`` partials of a firing. A partial, not a row, is sent to each firing."""
+    if size % slide:
+        raise ValueError("slide must divide size")
+    rows = Ordered(df, keys, order).scan(__rn=Count()).result()
+    block = F.ceil(F.col("__rn") / slide).cast("long")
+    parts = rows.withColumn("__block", block).groupBy(*keys, "__block").agg(F.count(F.lit(1)).alias("__n"), *[c.alias(n) for n, c in partial.items()])
+    fires = F.explode(F.sequence(F.col("__block"), F.col("__block") + size // slide - 1))
+    sent = parts.withColumn("__fire", fires)
+    full = F.max(F.when(F.col("__block") == F.col("__fire"), F.col("__n"))) == slide
+    merged = sent.groupBy(*keys, "__fire").agg(full.alias("__full"), *[c.alias(n) for n, c in merge.items()]).where("__full")
+    return merged.select(*keys, (F.col("__fire") * slide).alias("fire"), *merge)
+
+
 def over_rows(df: DataFrame, keys: list[str], order: list[str], preceding: int, value: str) -> DataFrame:
     """Count and mean of ``value`` over the current and the ``preceding`` rows: ``n`` and ``mean``."""
     rows = Ordered(df, keys, order)

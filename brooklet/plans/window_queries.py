@@ -85,7 +85,8 @@ def win_all_tumble(t):
 )
 def win_count_sliding(t):
     rows = t.events.select("user_id", "event_id", "value")
-    return win.count_slide(rows, ["user_id"], ORDER, 10, 2, (F.round(F.sum("value"), 2) / F.count("value")).alias("mean"))
+    partial = {"s": F.sum("value"), "c": F.count("value")}
+    return win.count_slide_partials(rows, ["user_id"], ORDER, 10, 2, partial, {"mean": F.round(F.sum("s"), 2) / F.sum("c")})
 
 
 @query(
