@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brooklet.llm import decontaminate, exact_dedup, language, near_dedup, packing
-from brooklet.session import saved
+from brooklet.session import discard_saved, saved, saved_paths
 
 LEAST_SHARE = 0.3  # of its main language, for a document to stay
 
@@ -33,7 +33,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dedup.drop_near_copies(docs)
+    return near_dedup.drop_near_copies(docs, near_dedup.MinHash(shingle=5))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,6 +59,9 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = set(saved_paths())
     for name, stage in STAGES:
         docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        # The stage's output is written: its input and what it wrote on the way are not read again.
+        discard_saved(spark, [path for path in saved_paths()[:-1] if path not in before])
     return docs
