@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.llm.textkit import ALNUM, Words, byte_slices, fresh, lists, small_batches, small_enough, with_fields, words
+from brooklet.llm.textkit import ALNUM, Words, byte_slices, fresh, lists, small_enough, with_fields, words
 from brooklet.session import saved
 
 BLOCK_BYTES = 16 << 20  # item text that one block may hold
@@ -116,7 +116,6 @@ def find_contamination(
     without documents nothing is hit. Repeated rows are judged alike. Other columns are not looked at.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     item_type = benchmark.select(item).dtypes[0][1]
     rows = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("key"), F.col(text).alias("text"))
     listed = benchmark.select(F.col(item).alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))

@@ -12,13 +12,11 @@ per task.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brooklet.llm.textkit import fresh, small_enough
-from brooklet.session import saved, shared_folder
+from brooklet.session import saved, scratch
 
 FIRST_BITS = 6  # the directory starts with 64 buckets
 CELL_BITS = 20  # and is never finer than 2^20 cells: what shares a cell stays together
@@ -52,7 +50,7 @@ def build_index(entries: DataFrame, capacity: int) -> DataFrame:
     """The index, written by bucket and read back: ``bucket, key, n`` with one row per distinct key."""
     keys = saved(entries.groupBy("key").agg(F.count("*").alias("n")), "dedup-keys")
     slots = keys.withColumn("cell", _cell("key")).join(directory(keys, capacity), "cell").select("bucket", "key", "n")
-    path = f"{shared_folder(entries.sparkSession)}/dedup-index-{uuid.uuid4().hex}"
+    path = scratch(entries.sparkSession, "dedup-index")
     slots.repartition("bucket").sortWithinPartitions("bucket", "key").write.partitionBy("bucket").parquet(path)
     return entries.sparkSession.read.schema("key bigint, n bigint, bucket bigint").parquet(path)
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.llm.textkit import LOWER, byte_slices, raw_texts, small_batches, with_fields
+from brooklet.llm.textkit import LOWER, byte_slices, raw_texts, with_fields
 
 GRAMS = 1 << 14
 TRAIN_DOCS = 200_000  # bound of the training sample
@@ -121,7 +121,6 @@ def train(docs: DataFrame, label: str = "lang", id: str = "doc_id", text: str =
     labelled rows about ``most`` are taken, chosen by the hash of their id: of each label the same number, or
     all rows of a label that has no more. Without any row the model knows no language and predicts none."""
     spark = docs.sparkSession
-    small_batches(spark)
     labelled = docs.select(F.col(id).alias("id"), F.col(label).cast("string").alias("label"), F.col(text).alias("text")).where(F.col("label").isNotNull() & F.col("text").isNotNull())
     known = docs.select(F.col(label).cast("string").alias("label")).where("label IS NOT NULL").groupBy("label").count()
     sizes = {r[0]: r[1] for r in known.limit(MOST_LANGUAGES + 1).collect()}
@@ -176,7 +175,6 @@ def predict(docs: DataFrame, model: LanguageModel, id: str = "doc_id", text: str
     get the same prediction; an empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
-    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # GRAMS x languages
     rows = docs.select(F.col(id).alias("id"), F.when(has_letter(F.col(text)), F.col(text)).alias("text"))
     schema = with_fields(rows.select("id"), "lang_pred string, score double, mixture map<string,float>")
@@ -204,7 +202,6 @@ def predict(docs: DataFrame, model: LanguageModel, id: str = "doc_id", text: str
 def keep_identified(docs: DataFrame, model: LanguageModel, least: float, text: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, whose language is known and has a share of at least ``least``."""
     spark = docs.sparkSession
-    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)
     lettered = docs.where(has_letter(F.col(text)))
 

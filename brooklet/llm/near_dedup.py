@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.llm.textkit import NOT_BLANK, byte_slices, fresh, lists, mix, small_batches, small_enough, with_fields, words
+from brooklet.llm.textkit import NOT_BLANK, byte_slices, fresh, lists, mix, small_enough, with_fields, words
 from brooklet.session import saved
 
 
@@ -297,7 +297,6 @@ def link_near_copies(docs: DataFrame, how: MinHash = MinHash(), id: str = "doc_i
     id is linked with nothing and kept. An empty table gives no rows; other columns are not read. A link is
     missed with probability 1.3e-7 + 5 x ``miss`` at the threshold, less above it.
     """
-    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     table = saved(_signatures(rows, how), "near-signatures")
     small = table.select("id", "n", "k1", "k2")

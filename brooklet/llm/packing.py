@@ -11,7 +11,6 @@ put together by first fit.
 from __future__ import annotations
 
 import math
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,9 +19,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.llm.textkit import byte_slices, small_batches, with_fields
+from brooklet.llm.textkit import byte_slices, with_fields
 from brooklet.llm.tokens import Encoder
-from brooklet.session import shared_folder
+from brooklet.session import scratch
 
 PIECE = "start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 _TYPES = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64()]
@@ -101,8 +100,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, capacity: int = 2048,
     read.
     """
     spark = docs.sparkSession
-    small_batches(spark)
-    folder = f"{shared_folder(spark)}/packing-{uuid.uuid4().hex}"
+    folder = scratch(spark, "packing")
     rows = docs.select(F.col(id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     schema = ", ".join([f"id {rows.dtypes[0][1]}", PIECE])
     names = [f.strip().split(" ")[0] for f in schema.split(",")]

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.llm.textkit import NOT_BLANK, byte_slices, lists, mix, small_batches, small_enough, with_fields, words
+from brooklet.llm.textkit import NOT_BLANK, byte_slices, lists, mix, small_enough, with_fields, words
 from brooklet.session import saved
 
 LEAST, SHINGLE = 50, 30
@@ -163,7 +163,6 @@ def find_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", least:
     if not 0 < least - shingle < 60:
         raise ValueError("least - shingle is between 1 and 59")
     spark, extra = docs.sparkSession, least - shingle
-    small_batches(spark)
     rows = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("d"), F.col(text).alias("text"))
     known = rows.where("id IS NOT NULL")
     repeated = _scan(known, least, shingle, False).groupBy("h").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low != high").select("h")

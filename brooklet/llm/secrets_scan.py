@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.llm.textkit import LOWER, byte_slices, raw_texts, small_batches, with_fields
+from brooklet.llm.textkit import LOWER, byte_slices, raw_texts, with_fields
 
 
 @dataclass(frozen=True)
@@ -178,7 +178,6 @@ def find_secrets(docs: DataFrame, rules: Sequence[Rule] = ALL, id: str = "doc_id
     Spans are ordered by start, then by the order of ``rules``. Null and empty texts have none; an empty table
     gives no rows; repeated rows are searched alike. Rows keep no other column, whatever its name.
     """
-    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     queries = {rule.kind: trigram_query(rule.pattern) for rule in rules}
     names = sorted(set().union(*map(_trigrams, queries.values())))

@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.llm.textkit import byte_slices, small_batches, with_fields
+from brooklet.llm.textkit import byte_slices, with_fields
 from brooklet.llm.tokens import Encoder
 
 CHUNK, OVERLAP = 16_384, 256
@@ -85,7 +85,6 @@ def count_tokens(docs: DataFrame, tokenizer: str, id: str = "doc_id", text: str
     0 bytes and 0 tokens. An empty table gives no rows; repeated rows are counted alike; other columns are
     not read.
     """
-    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     schema = with_fields(rows.select("id"), "n_bytes bigint, n_tokens bigint")
 

@@ -2,14 +2,13 @@
 
 A store is a folder of shards, written by Spark with its commit protocol. The ids of all documents, in ascending
 document order, form one array that is cut into shards at document ends. A shard keeps the ids as little-endian
-numbers of two or four bytes, the document ids, and the ends of its documents in Elias-Fano form: the low bits
+numbers of two or four bytes, and both the document ids and the ends of its documents in Elias-Fano form: the low bits
 packed, the high bits as a unary bit vector with a sample at every 64th one. ``select`` reads one offset from
 that, without a table of 64-bit offsets. Where a shard begins in the whole array follows from the shards before.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
@@ -19,9 +18,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from brooklet.llm.textkit import byte_slices, small_batches
+from brooklet.llm.textkit import byte_slices
 from brooklet.llm.tokens import Encoder
-from brooklet.session import shared_folder
+from brooklet.session import scratch
 
 SHARD_IDS = 2_000_000
 SAMPLE = 64
@@ -44,11 +43,12 @@ class EliasFano:
         bits = max(0, int(top // max(n, 1)).bit_length() - 1)
         low = values & np.uint64((1 << bits) - 1)
         shifts = np.arange(bits, dtype=np.uint64)
-        packed = np.packbits(((low[:, None] >> shifts) & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little")
+        parts = (low[i : i + (1 << 16)] for i in range(0, n, 1 << 16))
+        packed = b"".join(np.packbits(((p[:, None] >> shifts) & np.uint64(1)).astype(np.uint8).ravel(), bitorder="little").tobytes() for p in parts)
         ones = (values >> np.uint64(bits)).astype(np.int64) + np.arange(n)
         vector = np.zeros(int(top >> bits) + n + 1, dtype=np.uint8)
         vector[ones] = 1
-        return EliasFano(n, bits, packed.tobytes(), np.packbits(vector, bitorder="little").tobytes(), ones[::SAMPLE].astype("<u4").tobytes())
+        return EliasFano(n, bits, packed, np.packbits(vector, bitorder="little").tobytes(), ones[::SAMPLE].astype("<u4").tobytes())
 
     def _low(self, i: int) -> int:
         first = i * self.low_bits
@@ -83,7 +83,7 @@ class EliasFano:
 
 SHARD = (
     "part int, shard int, before bigint, n_docs bigint, n_ids bigint, width int, first_doc bigint, last_doc bigint, "
-    "docs binary, null_docs bigint, ids binary, ends_bits int, ends_low binary, ends_high binary, ends_samples binary"
+    "docs_bits int, docs_low binary, docs_high binary, docs_samples binary, null_docs bigint, ids binary, ends_bits int, ends_low binary, ends_high binary, ends_samples binary"
 )
 
 
@@ -111,9 +111,10 @@ class _Writer:
             return None
         docs, ends = np.concatenate(self.docs).astype("<i8"), np.cumsum(np.concatenate(self.lengths))
         fano = EliasFano.encode(ends, self.size)
+        own = EliasFano.encode(docs - docs[:1], int(docs[-1]) - int(docs[0]) if len(docs) else 0)
         values = [
             self.part, self.shard, self.before, fano.n, self.size, self.width, int(docs[0]) if len(docs) else None, int(docs[-1]) if len(docs) else None,
-            docs.tobytes(), self.nulls, np.concatenate(self.ids).tobytes(), fano.low_bits, fano.low, fano.high, fano.samples,
+            own.low_bits, own.low, own.high, own.samples, self.nulls, np.concatenate(self.ids).tobytes(), fano.low_bits, fano.low, fano.high, fano.samples,
         ]
         types = {"int": pa.int32(), "bigint": pa.int64(), "binary": pa.binary()}
         fields = [f.strip().split(" ") for f in SHARD.split(",")]
@@ -130,10 +131,10 @@ def write_store(docs: DataFrame, tokenizer: str, end_id: int, path: str | None =
     holds ``shard_ids`` ids or one document more. Document ids are 64-bit integers. The folder is in the
     cluster's shared folder unless ``path`` names another.
     """
-    small_batches(docs.sparkSession)
-    path = path or f"{shared_folder(docs.sparkSession)}/token-store-{uuid.uuid4().hex}"
+    path = path or scratch(docs.sparkSession, "token-store")
     rows = docs.select(F.col(id).cast("bigint").alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    ordered = rows.repartitionByRange("id").sortWithinPartitions("id", "text")
+    # Rows that share an id, or have none, are dealt by their texts too.
+    ordered = rows.withColumn("mark", F.substring("text", 1, 200)).repartitionByRange("id", "mark").sortWithinPartitions("id", "text").drop("mark")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer)
@@ -165,27 +166,39 @@ def _boundaries(row: dict) -> EliasFano:
     return EliasFano(row["n_docs"], row["ends_bits"], row["ends_low"], row["ends_high"], row["ends_samples"])
 
 
+def _doc_ids(row: dict) -> np.ndarray:
+    if row["first_doc"] is None:
+        return np.zeros(0, np.int64)
+    above = EliasFano(row["n_docs"] - row["null_docs"], row["docs_bits"], row["docs_low"], row["docs_high"], row["docs_samples"])
+    return row["first_doc"] + above.all()
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The shards one by one, whatever a batch holds."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def read_store(spark: SparkSession, path: str) -> DataFrame:
     """Every document of a store: ``doc_id, start, n_tokens, ids``, ids as little-endian unsigned 32-bit numbers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                ends = _boundaries(row).all()
-                starts = np.concatenate([[0], ends[:-1]])
-                ids = np.frombuffer(row["ids"], f"<u{row['width']}")
-                docs = pa.concat_arrays([pa.nulls(row["null_docs"], pa.int64()), pa.array(np.frombuffer(row["docs"], "<i8"))])
-                for a in range(0, len(ends), 1000):
-                    b = min(a + 1000, len(ends))
-                    data = ids[starts[a] : ends[b - 1]].astype("<u4").tobytes()
-                    cuts = 4 * np.append(starts[a:b] - starts[a], ends[b - 1] - starts[a])
-                    values = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(data)])
-                    yield pa.RecordBatch.from_arrays(
-                        [docs.slice(a, b - a), pa.array(starts[a:b] + row["base"], pa.int64()), pa.array(ends[a:b] - starts[a:b], pa.int64()), values.cast(pa.binary())],
-                        ["doc_id", "start", "n_tokens", "ids"],
-                    )
-
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+        for row in _rows(batches):
+            ends = _boundaries(row).all()
+            starts = np.concatenate([[0], ends[:-1]])
+            ids = np.frombuffer(row["ids"], f"<u{row['width']}")
+            docs = pa.concat_arrays([pa.nulls(row["null_docs"], pa.int64()), pa.array(_doc_ids(row))])
+            for a in range(0, len(ends), 1000):
+                b = min(a + 1000, len(ends))
+                data = ids[starts[a] : ends[b - 1]].astype("<u4").tobytes()
+                cuts = 4 * np.append(starts[a:b] - starts[a], ends[b - 1] - starts[a])
+                values = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(data)])
+                yield pa.RecordBatch.from_arrays(
+                    [docs.slice(a, b - a), pa.array(starts[a:b] + row["base"], pa.int64()), pa.array(ends[a:b] - starts[a:b], pa.int64()), values.cast(pa.binary())],
+                    ["doc_id", "start", "n_tokens", "ids"],
+                )
+
     return _placed(spark, path).mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids binary")
 
 
@@ -200,7 +213,7 @@ def fetch(spark: SparkSession, path: str, wanted: Sequence[int]) -> DataFrame:
         for batch in batches:
             out: list[tuple] = []
             for row in batch.to_pylist():
-                ends, docs = _boundaries(row), np.frombuffer(row["docs"], "<i8")
+                ends, docs = _boundaries(row), _doc_ids(row)
                 for w in wanted:
                     for at in range(int(np.searchsorted(docs, w)), int(np.searchsorted(docs, w, "right"))):
                         i = at + row["null_docs"]
