@@ -1,15 +1,19 @@
 """Token counts of whole texts; huge texts are encoded in overlapping chunks.
 
 A text longer than ``chunk`` characters is cut into chunks that overlap. Neighbouring chunks are encoded with
-offsets and spliced inside their overlap at a blank between two letters or digits, where the encoding cannot
-look across, if both encodings agree on the tokens around it. If there is no such place the overlap is
-widened, in the end until both chunks are one. Shorter texts are encoded by ``tokens.Encoder``.
+offsets and spliced inside their overlap at the begin of a pre-token that both encodings have, with the same tokens
+around it. The pre-tokenizer reads from left to right: what it makes of the left chunk is what it makes of the text,
+but for the chunk's last pre-token, and from a place that is a begin in both on, so is what it makes of the right
+one. Places near a chunk's edge, where a special token or a composed character may be cut, do not count. If there is no
+common place the overlap is widened, in the end until both chunks are one, four times as long, so that a text without
+any such place costs little more than encoding it at once. Shorter texts are encoded by ``tokens.Encoder``.
 """
 
 from __future__ import annotations
 
-import re
+import unicodedata
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,16 +26,18 @@ from brooklet.llm.tokens import Encoder
 
 CHUNK, OVERLAP = 16_384, 256
 
-# A single blank between two letters or digits: every pre-tokenizer pattern starts anew here.
-_STABLE = re.compile(r"(?<=[^\W_])[ \n](?=[^\W_])")
-
-
 class _Chunk:
-    def __init__(self, library, text: str, start: int, end: int):
+    def __init__(self, library, text: str, start: int, end: int, edge: int):
         encoded = library.encode(text[start:end], add_special_tokens=False)
         self.start, self.end = start, end
-        self.ids = np.array(encoded.ids, dtype=np.int64)
-        self.spans = np.array(encoded.offsets, dtype=np.int64).reshape(-1, 2) + start
+        n = len(encoded)
+        self.ids = np.fromiter(encoded.ids, np.int64, n)
+        self.spans = np.fromiter(chain.from_iterable(encoded.offsets), np.int64, 2 * n).reshape(-1, 2) + start
+        of_word = np.fromiter((-1 if w is None else w for w in encoded.word_ids), np.int64, n)
+        heads = np.flatnonzero(np.diff(of_word, prepend=-2) != 0)
+        # Begins of pre-tokens; the first is where the chunk was cut, the last may go on behind it.
+        begins = self.spans[heads[1:-1], 0]
+        self.begins = begins[(begins >= start + edge) & (begins < end - edge)]
 
     def before(self, at: int) -> int:
         """Number of tokens that begin before a position."""
@@ -41,36 +47,46 @@ class _Chunk:
         return (int(self.ids[i]), *self.spans[i].tolist()) if 0 <= i < len(self.ids) else None
 
 
+def _alone(text: str, at: int) -> bool:
+    """Whether the characters on both sides of a place stay apart when they are composed."""
+    a, b = text[at - 1], text[at]
+    if b.isascii():
+        return True
+    form = lambda s: unicodedata.normalize("NFC", s)
+    return not unicodedata.combining(b) and form(a + b) == form(a) + form(b)
+
+
 def _boundary(text: str, left: _Chunk, right: _Chunk) -> int | None:
-    """A stable place in the overlap around which both encodings have the same tokens."""
+    """A common begin in the overlap around which both encodings have the same tokens."""
     middle = (right.start + left.end) // 2
-    places = [m.start() for m in _STABLE.finditer(text, right.start + 1, left.end - 1)]
-    for at in sorted(places, key=lambda p: abs(p - middle)):
+    places = np.intersect1d(left.begins, right.begins)
+    for at in places[np.argsort(abs(places - middle), kind="stable")].tolist():
         i, j = left.before(at), right.before(at)
         last, first = left.token(i - 1), left.token(i)
-        if last and first and last == right.token(j - 1) and first == right.token(j) and last[2] <= at:
+        if last and first and last == right.token(j - 1) and first == right.token(j) and last[2] <= at and _alone(text, at):
             return at
     return None
 
 
 def encode_long(library, text: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> Iterator[np.ndarray]:
     """The ids of ``text``, part by part; the parts together are what encoding the whole text gives."""
-    left = _Chunk(library, text, 0, min(len(text), chunk + overlap))
+    edge = 4 + max((len(t.content) for t in library.get_added_tokens_decoder().values()), default=0)
+    left = _Chunk(library, text, 0, min(len(text), chunk + overlap), edge)
     done = 0
     while left.end < len(text):
-        wide, end = overlap, min(len(text), left.end + chunk)
-        while True:
+        wide, at = max(overlap, 4 * edge), None
+        while at is None:
             start = max(left.end - wide, left.start)
-            right = _Chunk(library, text, start, end)
-            at = _boundary(text, left, right)
-            if at is not None and left.before(at) >= done:
-                break
+            if (left.begins >= start + edge).any():  # without a begin on the left there is none in common
+                right = _Chunk(library, text, start, min(len(text), left.end + chunk), edge)
+                at = _boundary(text, left, right)
+                if at is not None and left.before(at) < done:
+                    at = None
             if start == left.start:
-                at = None
                 break
             wide *= 4
         if at is None:  # one chunk from here on: nothing of the left one is spliced yet but what was done before
-            left = right
+            left = _Chunk(library, text, left.start, min(len(text), left.start + 4 * (left.end - left.start)), edge)
             continue
         yield left.ids[done : left.before(at)]
         left, done = right, right.before(at)
