@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,7 +22,9 @@ from brooklet.llm.textkit import LOWER, byte_slices, raw_texts, with_fields
 
 GRAMS = 1 << 14
 TRAIN_DOCS = 200_000  # bound of the training sample
-MOST_LANGUAGES = 512
+MOST_LANGUAGES = 2_048  # bound of the model: the labels with the most labelled rows are learned
+HELD_LABELS = 256  # whose counts a task keeps before it passes them on
+CELLS = 8 << 20  # numbers in a table of documents x trigrams x languages
 UNKNOWN = "und"
 
 # Everything that is no ASCII letter and not beyond ASCII is one kind of gap.
@@ -65,6 +68,16 @@ class LanguageModel:
 
     def predict(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each text: number of its language or -1, that language's share, all shares."""
+        # As many texts at a time as the table below has room for; a text has GRAMS trigrams at most.
+        room = np.minimum(np.diff(raw_texts(column)[1]) + 2, GRAMS) * max(1, len(self.languages))
+        parts, at, reach = [], 0, np.cumsum(room)
+        while at < len(column):
+            end = max(at + 1, int(np.searchsorted(reach, (reach[at - 1] if at else 0) + CELLS, "right")))
+            parts.append(self._predict(column.slice(at, end - at)))
+            at = end
+        return tuple(np.concatenate(x) for x in zip(*parts)) if parts else self._predict(column)
+
+    def _predict(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         data, offsets = raw_texts(column)
         n, languages = len(offsets) - 1, len(self.languages)
         best, score, shares = np.full(n, -1), np.zeros(n), np.zeros((n, languages), dtype=np.float32)
@@ -116,20 +129,20 @@ def _rates(sizes: dict[str, int], most: int) -> dict[str, float]:
     return {name: min(1.0, level / n) for name, n in sizes.items()}
 
 
-def train(docs: DataFrame, label: str = "lang", id: str = "doc_id", text: str = "text", most: int = TRAIN_DOCS, smoothing: float = 0.5) -> LanguageModel:
-    """A model of all labels in ``docs``; rows without label or text are passed over. Of more than ``most``
+def train(docs: DataFrame, label: str = "lang", id: str = "doc_id", text: str = "text", most: int = TRAIN_DOCS, smoothing: float = 0.5, most_languages: int = MOST_LANGUAGES) -> LanguageModel:
+    """A model of the labels in ``docs``; rows without label or text are passed over. Of more than ``most``
     labelled rows about ``most`` are taken, chosen by the hash of their id: of each label the same number, or
-    all rows of a label that has no more. Without any row the model knows no language and predicts none."""
+    all rows of a label that has no more. Of more than ``most_languages`` labels those with the most labelled rows
+    are learned, of equal ones the first by name; documents of others are predicted as one of these. Without any row
+    the model knows no language and predicts none."""
     spark = docs.sparkSession
     labelled = docs.select(F.col(id).alias("id"), F.col(label).cast("string").alias("label"), F.col(text).alias("text")).where(F.col("label").isNotNull() & F.col("text").isNotNull())
     known = docs.select(F.col(label).cast("string").alias("label")).where("label IS NOT NULL").groupBy("label").count()
-    sizes = {r[0]: r[1] for r in known.limit(MOST_LANGUAGES + 1).collect()}
-    if len(sizes) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
-    if sum(sizes.values()) > most:
-        rates = _rates(sizes, most)
-        rate = F.create_map(*(F.lit(x) for pair in rates.items() for x in pair))[F.col("label")]
-        labelled = labelled.where(F.pmod(F.xxhash64("id"), F.lit(1 << 40)) < rate * (1 << 40))
+    sizes = {r[0]: r[1] for r in known.orderBy(F.col("count").desc(), "label").limit(most_languages + 1).collect()}
+    if len(sizes) > most_languages or sum(sizes.values()) > most:
+        rates = _rates(dict([*sizes.items()][:most_languages]), most)
+        table = F.broadcast(spark.createDataFrame(list(rates.items()), "label string, rate double"))  # most_languages rows
+        labelled = labelled.join(table, "label").where(F.pmod(F.xxhash64("id"), F.lit(1 << 40)) < F.col("rate") * (1 << 40)).select("id", "label", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
@@ -141,19 +154,24 @@ def train(docs: DataFrame, label: str = "lang", id: str = "doc_id", text: str =
                 for i, name in enumerate(labels.dictionary.to_pylist()):
                     counts.setdefault(name, np.zeros(GRAMS, np.int64))
                     counts[name] += np.bincount(codes[number == i], minlength=GRAMS)
-                if len(counts) > MOST_LANGUAGES:
-                    raise ValueError(f"more than {MOST_LANGUAGES} languages")
+                if len(counts) > HELD_LABELS:
+                    yield from told(counts)
+                    counts = {}
+        yield from told(counts)
+
+    def told(counts: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
         for name, own in counts.items():
             at = np.flatnonzero(own)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(at)), pa.array(at, pa.int32()), pa.array(own[at])], ["label", "gram", "n"])
 
     summed = labelled.mapInArrow(run, "label string, gram int, n bigint").groupBy("label", "gram").agg(F.sum("n").alias("n"))
-    rows = summed.toArrow()  # at most MOST_LANGUAGES x GRAMS counts, whatever the corpus
-    languages = sorted(set(rows.column("label").to_pylist()))
-    counts = np.full((GRAMS, len(languages)), smoothing)
-    where = {name: i for i, name in enumerate(languages)}
-    np.add.at(counts, (rows.column("gram").to_numpy(), np.array([where[x] for x in rows.column("label").to_pylist()], dtype=np.int64)), rows.column("n").to_numpy())
-    return LanguageModel(languages, (counts / counts.sum(axis=0)).astype(np.float32) if languages else counts.astype(np.float32))
+    rows = summed.toArrow()  # at most most_languages x GRAMS counts, whatever the corpus
+    languages = sorted(set(rows.column("label").unique().to_pylist()))
+    counts = np.full((GRAMS, len(languages)), smoothing, np.float32)
+    where = pc.index_in(rows.column("label"), pa.array(languages, pa.string())).to_numpy()
+    counts[rows.column("gram").to_numpy(), where] += rows.column("n").to_numpy()
+    counts /= counts.sum(axis=0, dtype=np.float64).astype(np.float32)
+    return LanguageModel(languages, counts)
 
 
 def _little_batches(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
@@ -171,7 +189,8 @@ def predict(docs: DataFrame, model: LanguageModel, id: str = "doc_id", text: str
     """One row per row of ``docs``: ``id, lang_pred, score, mixture``.
 
     ``lang_pred`` is a language of the model, or ``und`` with score 0 if the text is null or has no letter;
-    ``score`` its share of the document, ``mixture`` the shares of the document's language set. Repeated rows
+    ``score`` its share of the document, ``mixture`` the shares of the document's language set. Of languages with
+    equal shares the first by name is taken. Repeated rows
     get the same prediction; an empty table gives no rows; other columns are not read.
     """
     spark = docs.sparkSession
