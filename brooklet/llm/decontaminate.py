@@ -12,32 +12,55 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from brooklet.llm.textkit import ALNUM, Words, byte_slices, fresh, lists, small_enough, with_fields, words
+from brooklet.llm.textkit import ALNUM, Words, _spans, byte_slices, fresh, lists, small_enough, with_fields, words
 from brooklet.session import saved
 
 BLOCK_BYTES = 16 << 20  # item text that one block may hold
+_OTHER_BASE = 0xC2B2AE3D27D4EB4F
 CELLS = 64  # parts of a block that are weighed when blocks are filled
 
 
 class WindowSet:
-    """Windows of some items: sorted hashes by length, and the items of every window by its words."""
-
-    def __init__(self, ids: list, texts: list[str | None], size: int):
-        found = words(pa.array(texts, pa.string()), ALNUM)
-        items: dict[bytes, set] = {}
-        lengths: dict[int, set[int]] = {}
-        for n in sorted({int(min(size, c)) for c in found.counts if c}):
-            at, hashes = found.grams(n)
-            item = np.searchsorted(found.offsets, at, "right") - 1
-            keep = np.minimum(found.counts[item], size) == n
-            for a, h, i in zip(at[keep].tolist(), hashes[keep].tolist(), item[keep].tolist()):
-                lengths.setdefault(n, set()).add(h)
-                items.setdefault(found.joined(a, a + n), set()).add(ids[i])
-        self.hashes = {n: np.array(sorted(h), dtype=np.uint64) for n, h in lengths.items()}
-        self.items = {k: sorted(v, key=str) for k, v in items.items()}
+    """Windows of some items, as arrays: by length their sorted hashes, and of each where its words stand in the items'
+    bytes and which items have it. About ten bytes for a byte of text."""
+
+    def __init__(self, ids: pa.Array, texts: pa.Array, size: int):
+        self.ids = ids
+        pieces = [words(s.column("t"), ALNUM) for s in byte_slices(pa.RecordBatch.from_arrays([texts], ["t"]), "t")]
+        counts = np.concatenate([w.counts for w in pieces]) if pieces else np.zeros(0, np.int64)
+        begins = np.cumsum([0, *(len(w.data) for w in pieces)])
+        self.data = np.concatenate([w.data for w in pieces]) if pieces else np.zeros(0, np.uint8)
+        self.starts, self.ends = (np.concatenate([getattr(w, side) + b for w, b in zip(pieces, begins)]).astype(np.int64 if begins[-1] >> 31 else np.int32) if pieces else np.zeros(0, np.int32) for side in ("starts", "ends"))
+        lengths = np.minimum(counts, size)
+        # For every length: hashes of the distinct windows, a place of each, and where its items begin in ``items``.
+        self.windows: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
+        for n in np.unique(lengths[lengths > 0]).tolist():
+            found, first_word, first_item = [], 0, 0
+            for w in pieces:
+                at, hashes = w.grams(n)
+                item = np.searchsorted(w.offsets, at, "right") - 1
+                keep = lengths[first_item + item] == n
+                other = _spans(w.hashes, _OTHER_BASE, at, at + n)  # 128 bits tell windows apart here
+                found.append((hashes[keep], other[keep], (at[keep] + first_word).astype(np.int32), (item[keep] + first_item).astype(np.int32)))
+                first_word, first_item = first_word + len(w.starts), first_item + len(w.counts)
+            hashes, other, place, item = (np.concatenate(x) for x in zip(*found))
+            order = np.lexsort((item, other, hashes))
+            hashes, other, place, item = hashes[order], other[order], place[order], item[order]
+            new = np.append(True, (hashes[1:] != hashes[:-1]) | (other[1:] != other[:-1]))
+            own = new | np.append(True, item[1:] != item[:-1])
+            heads = np.flatnonzero(new)
+            self.windows[n] = hashes[heads], place[heads], np.append(np.searchsorted(np.flatnonzero(own), heads), own.sum()).astype(np.int32), item[own]
+
+    def _joined(self, first: int, last: int) -> bytes:
+        return b" ".join(self.data[self.starts[i] : self.ends[i]].tobytes() for i in range(first, last))
+
+    @property
+    def nbytes(self) -> int:
+        return self.data.nbytes + self.starts.nbytes + self.ends.nbytes + sum(x.nbytes for w in self.windows.values() for x in w)
 
     def scan(self, column: pa.Array) -> tuple[Words, list[list], np.ndarray]:
         """The words of the texts, the items found in each text, and for every word whether it is hit."""
@@ -45,16 +68,20 @@ class WindowSet:
         texts = len(found.counts)
         change = np.zeros(len(found.starts) + 1, dtype=np.int64)
         items: list[set] = [set() for _ in range(texts)]
-        for n, hashes in self.hashes.items():
+        for n, (hashes, place, begins, item) in self.windows.items():
             at, grams = found.grams(n)
-            near = np.minimum(np.searchsorted(hashes, grams), len(hashes) - 1)
-            for a in at[hashes[near] == grams].tolist():
-                if own := self.items.get(found.joined(a, a + n)):
-                    change[a] += 1
-                    change[a + n] -= 1
-                    items[int(np.searchsorted(found.offsets, a, "right")) - 1].update(own)
+            near = np.searchsorted(hashes, grams)
+            hit = np.flatnonzero(hashes[np.minimum(near, len(hashes) - 1)] == grams)
+            for a, w in zip(at[hit].tolist(), near[hit].tolist()):
+                wanted, h = found.joined(a, a + n), hashes[w]
+                while w < len(hashes) and hashes[w] == h:
+                    if self._joined(place[w], place[w] + n) == wanted:
+                        change[a] += 1
+                        change[a + n] -= 1
+                        items[int(np.searchsorted(found.offsets, a, "right")) - 1].update(item[begins[w] : begins[w + 1]].tolist())
+                    w += 1
         hit = np.cumsum(change[:-1]) > 0
-        return found, [sorted(i, key=str) for i in items], hit
+        return found, [sorted(set(self.ids.take(pa.array(sorted(i), pa.int32())).to_pylist()), key=str) for i in items], hit
 
 
 def deal_blocks(listed: DataFrame, block_bytes: int) -> list[DataFrame]:
@@ -75,10 +102,12 @@ def deal_blocks(listed: DataFrame, block_bytes: int) -> list[DataFrame]:
     return [listed.where((cell >= a) & (cell < b)) for a, b in zip(bounds, ends)]
 
 
-def _scan_block(rows: DataFrame, block: DataFrame, size: int, item_type: str) -> DataFrame:
-    """``rows`` has ``id, key, text``. Returns ``id, key, n_words, hit_words, items``: positions of the words hit."""
-    listed = block.collect()
-    shared = rows.sparkSession.sparkContext.broadcast(WindowSet([r[0] for r in listed], [r[1] for r in listed], size))
+def _scan_block(rows: DataFrame, block: DataFrame, size: int, item_type: str) -> tuple[DataFrame, Broadcast]:
+    """``rows`` has ``id, key, text``. Returns ``id, key, n_words, hit_words, items``: positions of the words hit;
+    and what was broadcast for it."""
+    listed = block.select("item", "text").toArrow().combine_chunks()
+    columns = [c.chunk(0) if c.num_chunks else pa.array([], c.type) for c in listed.columns]
+    shared = rows.sparkSession.sparkContext.broadcast(WindowSet(*columns, size))
     schema = with_fields(rows.select("id", "key"), f"n_words bigint, hit_words array<int>, items array<{item_type}>")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -99,7 +128,7 @@ def _scan_block(rows: DataFrame, block: DataFrame, size: int, item_type: str) ->
                     ["id", "key", "n_words", "hit_words", "items"],
                 )
 
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema), shared
 
 
 ITEM_TYPES = {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}
@@ -115,17 +144,20 @@ def find_contamination(
     twenty is hit. Null and empty texts have no words; an item without words has no window; without items or
     without documents nothing is hit. Repeated rows are judged alike. Other columns are not looked at.
     """
-    spark = docs.sparkSession
     item_type = benchmark.select(item).dtypes[0][1]
     rows = docs.select(F.col(id).alias("id"), F.xxhash64(text).alias("key"), F.col(text).alias("text"))
     listed = benchmark.select(F.col(item).alias("item"), F.coalesce(F.col(item_text), F.lit("")).alias("text"))
-    parts = [_scan_block(rows, block, size, item_type) for block in deal_blocks(listed, block_bytes)]
-    if len(parts) == 1:
-        found = parts[0]
+    blocks = deal_blocks(listed, block_bytes)
+    if len(blocks) == 1:
+        found, _ = _scan_block(rows, blocks[0], size, item_type)
     else:
         # Rows that share id and text give the same hits; the number of words brings the repeated rows back.
-        hits = saved(parts[0], "contamination-0")
-        more = [hits] + [saved(p, f"contamination-{i}") for i, p in enumerate(parts[1:], 1)]
+        more = []
+        for i, block in enumerate(blocks):  # one after the other: a task holds one block
+            part, shared = _scan_block(rows, block, size, item_type)
+            more.append(saved(part.where(F.size("items") > 0) if i else part, f"contamination-{i}"))
+            shared.destroy()
+        hits = more[0]
         merged = None
         for p in more:
             one = p.where(F.size("items") > 0).select("id", "key", "hit_words", "items")
