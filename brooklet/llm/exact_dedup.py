@@ -2,12 +2,12 @@
 
 Every text gets a 64-bit key, the hash of its normal form. The leading bits of a key choose a cell of the
 directory. A bucket with more than ``capacity`` distinct keys is split by one more bit, which doubles the
-directory there, until no bucket is overfull. A bucket is a key range and a folder of the index in the shared
-folder. A key that several rows share holds a chain: its rows are compared by their bytes and grouped.
+directory there, until no bucket is overfull. A bucket is a key range and belongs to one task, which writes its part
+of the index in key order: of every key how many rows have it and, of a single row, the row's answer.
 
-Of a text that occurs once, only its key crosses the network. The bytes of a text move only if its key occurs
-twice, and equal texts are merged before the shuffle: one text that fills a third of the table sends one row
-per task.
+A key that several rows share holds a chain. Its texts, equal ones merged before they move, go to the owner of the
+bucket, which compares them by their bytes; one text that fills a third of the table sends one row per task. Rows
+look their answer up in the chains; chains of very many rows are told to all tasks instead.
 """
 
 from __future__ import annotations
@@ -16,9 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from brooklet.llm.textkit import fresh, small_enough
-from brooklet.session import saved, scratch
+from brooklet.session import saved
 
 FIRST_BITS = 6  # the directory starts with 64 buckets
+HOT_CHAINS = 100_000  # rows of the list of long chains, at most
 CELL_BITS = 20  # and is never finer than 2^20 cells: what shares a cell stays together
 
 
@@ -47,12 +48,11 @@ def directory(keys: DataFrame, capacity: int) -> DataFrame:
 
 
 def build_index(entries: DataFrame, capacity: int) -> DataFrame:
-    """The index, written by bucket and read back: ``bucket, key, n`` with one row per distinct key."""
-    keys = saved(entries.groupBy("key").agg(F.count("*").alias("n")), "dedup-keys")
-    slots = keys.withColumn("cell", _cell("key")).join(directory(keys, capacity), "cell").select("bucket", "key", "n")
-    path = scratch(entries.sparkSession, "dedup-index")
-    slots.repartition("bucket").sortWithinPartitions("bucket", "key").write.partitionBy("bucket").parquet(path)
-    return entries.sparkSession.read.schema("key bigint, n bigint, bucket bigint").parquet(path)
+    """The index, written by bucket and key and read back: ``bucket, key, n``, and ``row``, an entry of the key."""
+    keys = saved(entries.groupBy("key").agg(F.count("*").alias("n"), F.first(F.struct("id", "sha")).alias("row")), "dedup-keys")
+    cells = F.broadcast(directory(keys, capacity))  # 2^CELL_BITS rows at most
+    slots = keys.withColumn("cell", _cell("key")).join(cells, "cell").select("bucket", "key", "n", "row")
+    return saved(slots.repartition("bucket").sortWithinPartitions("bucket", "key"), "dedup-index")
 
 
 def find_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", capacity: int = 250_000) -> DataFrame:
@@ -66,19 +66,23 @@ def find_copies(docs: DataFrame, id: str = "doc_id", text: str = "text", capacit
     rows = docs.select(F.col(id).alias("id"), normal_form(F.col(text)).alias("normal"))
     rows = rows.select("id", "normal", F.xxhash64("normal").alias("key"))
     entries = saved(rows.select("id", "key", F.sha2("normal", 256).alias("sha")), "dedup-entries")
-    shared = build_index(entries, capacity).where("n > 1").select("bucket", "key")
-    chains = (
-        rows.join(shared, "key")
-        .groupBy("bucket", "key", "normal")
-        .agg(F.min("id").alias("keep"), F.count("*").alias("size"))
-        .select("key", F.sha2("normal", 256).alias("sha"), "keep", "size")
-    )
-    keep = F.when(F.col("size").isNull(), F.col("id")).otherwise(F.col("keep"))
-    return entries.join(saved(chains, "dedup-chains"), ["key", "sha"], "left").select(
+    index = build_index(entries, capacity)
+    shared = saved(index.where("n > 1").select("bucket", "key"), "dedup-shared")
+    merged = rows.join(small_enough(shared), "key").groupBy("bucket", "key", "normal").agg(F.min("id").alias("keep"), F.count("*").alias("size"))
+    # The owner of a bucket has its chains in order, and of each text one row.
+    owned = merged.repartition("bucket").sortWithinPartitions("bucket", "key", "normal")
+    chains = saved(owned.select("key", F.sha2("normal", 256).alias("sha"), "keep", "size"), "dedup-chains")
+    single = index.where("n = 1").select("row.id", "row.sha", F.col("row.id").alias("keep"), F.lit(1).cast("bigint").alias("size"))
+    copied = entries.join(small_enough(shared.select("key")), "key")
+    most = max(1_000, entries.count() // HOT_CHAINS)
+    hot = F.broadcast(chains.where(F.col("size") > most))  # fewer than HOT_CHAINS rows
+    told = copied.join(hot, ["key", "sha"]).unionByName(copied.join(hot.select("key", "sha"), ["key", "sha"], "left_anti").join(chains.where(F.col("size") <= most), ["key", "sha"]))
+    answers = single.unionByName(told.select("id", "sha", "keep", "size"))
+    return answers.select(
         F.col("id").alias(id),
-        keep.alias("keep_id"),
-        F.coalesce("size", F.lit(1)).cast("bigint").alias("group_size"),
-        F.col("id").eqNullSafe(keep).alias("kept"),
+        F.col("keep").alias("keep_id"),
+        F.col("size").alias("group_size"),
+        F.col("id").eqNullSafe(F.col("keep")).alias("kept"),
         F.col("sha").alias("text_sha256"),
     )
 
