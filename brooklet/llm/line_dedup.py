@@ -23,7 +23,7 @@ from brooklet.session import saved
 ONCE_BITS, SLICE_BITS, FEWER = 8, 1 << 23, 16
 TWICE_BITS = 1 << 29
 PROBES = 2
-HOT_LINES = 20_000  # of one text, to be told apart by a broadcast list
+LEAST_HOT, HOT_TEXTS = 1_000, 100_000  # lines of one text that is told to all tasks; how many such texts at most
 
 
 class Lines:
@@ -179,10 +179,10 @@ def find_repeated_lines(docs: DataFrame, id: str = "doc_id", text: str = "text",
     who = F.struct(F.col("id").isNull().alias("none"), "id")
     held = suspects.groupBy("key").agg(F.min(who).alias("first"), F.max(who).alias("last"), F.count("*").alias("n"))
     held = saved(held.where(F.col("first") != F.col("last")).select("key", F.col("first.id").alias("first"), "n"), "lines-held")
-    # Lines of one text go to one task, so texts that are on very many lines are told to all tasks. There are at most
-    # as many as HOT_LINES goes into the lines.
-    hot = F.broadcast(held.where(F.col("n") > HOT_LINES).drop("n"))
-    found = suspects.join(hot, "key").unionByName(suspects.join(hot.select("key"), "key", "left_anti").join(held.where(F.col("n") <= HOT_LINES).drop("n"), "key"))
+    # Lines of one text go to one task, so texts that are on very many lines are told to all tasks, fewer than HOT_TEXTS.
+    most = max(LEAST_HOT, suspects.count() // HOT_TEXTS)
+    hot = F.broadcast(held.where(F.col("n") > most).drop("n"))
+    found = suspects.join(hot, "key").unionByName(suspects.join(hot.select("key"), "key", "left_anti").join(held.where(F.col("n") <= most).drop("n"), "key"))
     return found.where(~F.col("id").eqNullSafe(F.col("first"))).select("id", "digest", "line")
 
 

@@ -53,7 +53,7 @@ def test_against_brute_force(spark, geometry):
 
 
 def test_hot_lines_are_told_apart_by_a_list(spark, monkeypatch):
-    monkeypatch.setattr(line_dedup, "HOT_LINES", 5)
+    monkeypatch.setattr(line_dedup, "LEAST_HOT", 5)
     texts = [f"the very common line\nown line number {i // 2}\nend" for i in range(60)]
     docs = odd_docs(spark, texts)
     got = sorted((tuple(r) for r in drop_repeated_lines(docs).collect()), key=repr)
