@@ -29,6 +29,9 @@ from brooklet.llm.textkit import NOT_BLANK, byte_slices, fresh, lists, mix, smal
 from brooklet.session import saved
 
 
+BLOCK_ITEMS = 2_000_000  # shingles of the sets that are compared at a time
+
+
 @dataclass(frozen=True)
 class MinHash:
     """``bands`` x ``rows`` values. At similarity 0.8 a pair shares no band with probability 1.3e-7."""
@@ -218,13 +221,14 @@ def _rest(rows: DataFrame, members: DataFrame, sigs: DataFrame, labels: DataFram
     full sets and verifies. What either gives out is no more than the members, however many pairs there are.
     """
     label = F.coalesce("label", F.col("id"))
-    labelled = members.join(labels, "id", "left").select("bucket", "band", "id", label.alias("label"), "centre").where("id != centre")
-    open_ = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size")).where("low != high")
-    blocks = F.ceil(F.col("size") / how.block).cast("int")
+    labelled = members.join(labels, "id", "left").select("bucket", "band", "id", "n", label.alias("label"), "centre").where("id != centre")
+    open_ = labelled.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("size"), F.sum("n").alias("items")).where("low != high")
+    # A block is bounded by its members and by the size of their sets.
+    blocks = F.ceil(F.greatest(F.col("size") / how.block, F.col("items") / BLOCK_ITEMS)).cast("int")
     there = labelled.join(saved(open_.select("bucket", blocks.alias("blocks")), "near-open"), "bucket")
     # A bucket of more than one block meets itself block by block.
     there = there.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    there = saved(there.select("bucket", "band", "id", "label", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")), "near-rest")
+    there = saved(there.select("bucket", "band", "id", "n", "label", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")), "near-rest")
     kind = members.schema["id"].dataType.simpleString()
     plain = there.columns
 
@@ -240,18 +244,13 @@ def _rest(rows: DataFrame, members: DataFrame, sigs: DataFrame, labels: DataFram
     def verify(table: pa.Table) -> pa.Table:
         table = table.sort_by([("bucket", "ascending")])
         label, sig, bands = table.column("label").to_numpy(), _matrix(table.column("sig"), how.size), _band_keys(table, how)
-        items = table.column("items").combine_chunks()
+        items, size_of = table.column("items").combine_chunks(), table.column("n").to_numpy()
         found_a, found_b = [], []
         for left, right, same, band in _buckets(table):
             pairs = list(_survivors(left, right, same, label, sig, bands, band, how))
             x, y = np.concatenate([p[0] for p in pairs]), np.concatenate([p[1] for p in pairs])
             if not len(x):
                 continue
-            # The sets of the right block as one array of numbers; a set on the left marks its own and is counted in all.
-            many = items.take(pa.array(right))
-            flat, begins, sizes = many.flatten().to_numpy(), many.offsets.to_numpy()[:-1] - many.offsets[0].as_py(), many.value_lengths().to_numpy()
-            vocabulary, codes = np.unique(flat, return_inverse=True)
-            place = {row: n for n, row in enumerate(right.tolist())}
             joined = {}
 
             def root(name):
@@ -259,25 +258,38 @@ def _rest(rows: DataFrame, members: DataFrame, sigs: DataFrame, labels: DataFram
                     name = joined[name]
                 return name
 
-            for row in np.unique(x).tolist():
-                own = items[row].values.to_numpy()
-                at = np.minimum(np.searchsorted(vocabulary, own), len(vocabulary) - 1)
-                marked = np.zeros(len(vocabulary), dtype=np.int64)
-                marked[at[vocabulary[at] == own]] = 1
-                inter = np.add.reduceat(marked[codes], begins)
-                for partner in y[x == row].tolist():
-                    n = place[partner]
-                    if 100 * inter[n] >= how.percent * (len(own) + sizes[n] - inter[n]):
-                        a, b = root(label[row]), root(label[partner])
-                        if a != b:  # one link is enough to join two components
-                            joined[max(a, b)] = min(a, b)
-                            found_a.append(row)
-                            found_b.append(partner)
+            # Some sets of the right block at a time as one array of numbers; a set on the left marks its own and is counted
+            # in all.
+            wanted = np.unique(y)
+            reach = np.cumsum(size_of[wanted])
+            at = 0
+            while at < len(wanted):
+                end = max(at + 1, int(np.searchsorted(reach, (reach[at - 1] if at else 0) + BLOCK_ITEMS, "right")))
+                some, at = wanted[at:end], end
+                many = items.take(pa.array(some))
+                flat, begins, sizes = many.flatten().to_numpy(), many.offsets.to_numpy()[:-1] - many.offsets[0].as_py(), many.value_lengths().to_numpy()
+                vocabulary, codes = np.unique(flat, return_inverse=True)
+                mine = (y >= some[0]) & (y <= some[-1])
+                for row in np.unique(x[mine]).tolist():
+                    own = items[row].values.to_numpy()
+                    there_ = np.minimum(np.searchsorted(vocabulary, own), len(vocabulary) - 1)
+                    marked = np.zeros(len(vocabulary), dtype=np.int64)
+                    marked[there_[vocabulary[there_] == own]] = 1
+                    inter = np.add.reduceat(marked[codes], begins)
+                    partners = y[mine & (x == row)]
+                    for partner, n in zip(partners.tolist(), np.searchsorted(some, partners).tolist()):
+                        if 100 * inter[n] >= how.percent * (len(own) + sizes[n] - inter[n]):
+                            a, b = root(label[row]), root(label[partner])
+                            if a != b:  # one link is enough to join two components
+                                joined[max(a, b)] = min(a, b)
+                                found_a.append(row)
+                                found_b.append(partner)
         ids = table.column("id").combine_chunks()
         return pa.table({"a": ids.take(pa.array(found_a, pa.int64())), "b": ids.take(pa.array(found_b, pa.int64()))})
 
     def grouped(df: DataFrame, size: int, *with_: DataFrame):
-        groups = max(64, df.count() // size)
+        n, held = df.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+        groups = max(64, n // size, held // (2 * BLOCK_ITEMS) if with_[1:] else 0)  # those with sets by their sizes too
         for other in with_:
             df = df.join(other, "id")
         return df.withColumn("many", F.pmod("bucket", F.lit(groups))).groupBy("many", "i", "j")
@@ -306,7 +318,7 @@ def link_near_copies(docs: DataFrame, how: MinHash = MinHash(), id: str = "doc_i
     extra = saved(usable.join(several, ["k1", "k2"]).where("id != rep").select("id", "k1", "k2"), "near-copies")
     reps = table.where("n > 0 AND id IS NOT NULL").join(small_enough(extra), ["id", "k1", "k2"], "left_anti")
     sigs = reps.select("id", "sig")
-    keyed = reps.select("id", F.posexplode("bands").alias("band", "bucket"))
+    keyed = reps.select("id", "n", F.posexplode("bands").alias("band", "bucket"))
     sizes = saved(keyed.groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"), "near-sizes")
     shared = saved(keyed.join(sizes, "bucket"), "near-shared")
     known = saved(shared.groupBy("id").agg(F.sum("size").alias("company")), "near-company")
