@@ -115,8 +115,33 @@ def lateral(df: DataFrame, call: Column | DataFrame, how: str = "inner") -> Data
     return df.lateralJoin(call, how=how)
 
 
+def join_function(
+    left: DataFrame, right: DataFrame, keys: list[str], left_ts: str, right_ts: str, size_ms: int, fn: Callable[[Callable[[str], Column], Callable[[str], Column]], list[Column]]
+) -> DataFrame:
+    """A user function over the pairs of a window join: ``fn(left, right)`` is given getters of the columns of both
+    rows and returns the columns of the result."""
+    pairs = window_join(left, right, keys, left_ts, right_ts, size_ms)
+    return pairs.select(*fn(F.col, F.col))
+
+
+def cogroup_function(
+    left: DataFrame, right: DataFrame, keys: list[str], left_ts: str, right_ts: str, size_ms: int, fn: Callable[[Column, Column], Column], order: tuple[str, str]
+) -> DataFrame:
+    """A user function over the co-groups of a key and tumbling window: ``fn(left_rows, right_rows)`` is given both sides
+    as arrays of structs, in the order of the column ``order`` names on each side, either perhaps empty, and returns
+    an array of structs, the result's rows. A group is one row, so it has to fit into a task; ``window_join`` has
+    no such bound."""
+    sides = []
+    for df, ts, name, by in ((left, left_ts, "__l", order[0]), (right, right_ts, "__r", order[1])):
+        row = F.struct(F.col(by).alias("by"), F.struct(*df.columns).alias("row")).alias(name)
+        sides.append(with_window(df, ts, size_ms).select(*keys, "w_start", row))
+    both = sides[0].unionByName(sides[1], allowMissingColumns=True)
+    groups = both.groupBy(*keys, "w_start").agg(*[F.transform(F.array_sort(F.collect_list(c)), lambda x: x["row"]).alias(c) for c in ("__l", "__r")])
+    return groups.select(F.inline(fn(F.col("__l"), F.col("__r"))))
+
+
 def join_with(joined: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema: str) -> DataFrame:
-    """A user function over the pairs of a join, batch by batch: a row of ``joined`` has the columns of both sides."""
+    """The same with a pandas function, batch by batch: a row of ``joined`` has the columns of both sides."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -129,8 +154,7 @@ def join_with(joined: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], sch
 def window_cogroup(
     left: DataFrame, right: DataFrame, keys: list[str], left_ts: str, right_ts: str, size_ms: int, fn: Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame], schema: str
 ) -> DataFrame:
-    """A user function that gets all left and all right rows of a key and tumbling window, either of them perhaps
-    none. It sees a group as a whole, so a group has to fit into a task; ``window_join`` has no such bound."""
+    """``cogroup_function`` with a pandas function that gets all left and all right rows of a group."""
     l, r = with_window(left, left_ts, size_ms), with_window(right, right_ts, size_ms)
     group = [*keys, "w_start"]
     return l.groupBy(*group).cogroup(r.groupBy(*group)).applyInPandas(fn, schema)

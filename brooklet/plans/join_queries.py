@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import functions as F
 
 from brooklet.functions.scalars import epoch_ms
@@ -49,16 +48,14 @@ def _pair_text(t):
 query("join_window_inner_proc", PAIR_TEXT_SQL)(_pair_text)
 
 
-def _write_pair(pairs: pd.DataFrame) -> pd.DataFrame:
+def _write_pair(left, right):
     """The user's join function: what to make of a left and a right row."""
-    texts = "user " + pairs["user_id"].astype(str) + ": " + pairs["l_id"].astype(str) + " with " + pairs["r_id"].astype(str)
-    return pd.DataFrame({"text": texts})
+    return [F.concat(F.lit("user "), left("user_id"), F.lit(": "), left("l_id"), F.lit(" with "), right("r_id")).alias("text")]
 
 
 @query("fn_join", PAIR_TEXT_SQL)
 def fn_join(t):
-    pairs = joins.window_join(side(t, "click", "l"), side(t, "error", "r"), ["user_id"], "l_ts", "r_ts", HALF_DAY)
-    return joins.join_with(pairs.select("user_id", "l_id", "r_id"), _write_pair, "text string")
+    return joins.join_function(side(t, "click", "l"), side(t, "error", "r"), ["user_id"], "l_ts", "r_ts", HALF_DAY, _write_pair)
 
 
 @query(
@@ -84,16 +81,16 @@ def _left_all(t):
 query("join_window_left_all", LEFT_ALL_SQL)(_left_all)
 
 
-def _left_or_all(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+def _left_or_all(left, right):
     """The user's co-group function: every left row with every right row, or alone."""
-    pairs = left[["user_id", "l_id"]].merge(right[["r_id"]], how="cross") if len(right) else left[["user_id", "l_id"]].assign(r_id=None)
-    return pairs[["user_id", "l_id", "r_id"]]
+    ids = F.when(F.size(right) > 0, F.transform(right, lambda r: r["r_id"])).otherwise(F.array(F.lit(None).cast("long")))
+    return F.flatten(F.transform(left, lambda l: F.transform(ids, lambda r: F.struct(l["user_id"].alias("user_id"), l["l_id"].alias("l_id"), r.alias("r_id")))))
 
 
 @query("fn_cogroup", LEFT_ALL_SQL)
 def fn_cogroup(t):
     sides = [side(t, kind, name).select("user_id", f"{name}_id", f"{name}_ts") for kind, name in (("view", "l"), ("purchase", "r"))]
-    return joins.window_cogroup(*sides, ["user_id"], "l_ts", "r_ts", DAY, _left_or_all, "user_id long, l_id long, r_id long")
+    return joins.cogroup_function(*sides, ["user_id"], "l_ts", "r_ts", DAY, _left_or_all, ("l_id", "r_id"))
 
 
 @query(

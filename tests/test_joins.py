@@ -66,6 +66,19 @@ def test_user_functions(spark):
     assert rows(grouped) == [(1, 1, 0), (1, 1, 1), (2, 1, 0), (3, 0, 1)]
 
 
+def test_user_functions_of_columns(spark):
+    left = spark.createDataFrame([(1, 10, 0), (1, 11, 5), (2, 12, 0)], "k int, a int, s long").withColumn("l_ts", F.timestamp_seconds("s")).drop("s")
+    right = spark.createDataFrame([(1, 20, 1), (1, 19, 2), (3, 21, 0)], "k int, b int, s long").withColumn("r_ts", F.timestamp_seconds("s")).drop("s")
+    made = joins.join_function(left, right, ["k"], "l_ts", "r_ts", 4_000, lambda l, r: [(l("a") + r("b")).alias("sum")])
+    assert rows(made) == [(29,), (30,)]
+
+    def listed(l, r):
+        return F.array(F.struct(F.size(l).alias("l"), F.array_join(F.transform(r, lambda x: x["b"].cast("string")), ",").alias("r")))
+
+    grouped = joins.cogroup_function(left, right, ["k"], "l_ts", "r_ts", 4_000, listed, ("a", "b"))
+    assert rows(grouped) == [(0, "21"), (1, ""), (1, ""), (1, "19,20")]
+
+
 def test_cleaning_leaves_nothing_behind_and_breaks_nothing(spark, limit_50):
     df = saved(spark.range(500).select((F.col("id") % 2).alias("k"), "id"), "test-input")
     kept = saved_paths()[-1]
