@@ -11,10 +11,18 @@ from tests.conftest import rows
 from tests.test_brute_force import TIMEOUT, frame, simulate_fails, simulate_pairs, simulate_rising
 
 
-@pytest.fixture(params=["7", "40"])
-def small_slices(spark, request):
-    spark.conf.set(ROWS_PER_SLICE_CONF, request.param)
-    yield int(request.param)
+@pytest.fixture
+def small_slices(spark):
+    spark.conf.set(ROWS_PER_SLICE_CONF, "25")
+    yield 25
+    spark.conf.unset(ROWS_PER_SLICE_CONF)
+
+
+@pytest.fixture
+def tiny(spark):
+    """Slices shorter than the timers."""
+    spark.conf.set(ROWS_PER_SLICE_CONF, "4")
+    yield
     spark.conf.unset(ROWS_PER_SLICE_CONF)
 
 
@@ -56,22 +64,24 @@ def test_fail_bursts(spark, small_slices, kind):
     assert rows(got, "k", "at_ms", "fails") == simulate_fails(data) != []
 
 
-def test_no_task_runs_the_whole_key(spark, small_slices, monkeypatch):
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
-    data = restless("random")
+def test_slices_shorter_than_the_timers(spark, tiny):
+    data = restless("random", 150)
     df = frame(spark, data)
-    seen = spark.sparkContext.accumulator(0)
-    try:
-        entries = []
-        real = machines._entries
-        monkeypatch.setattr(machines, "_entries", lambda *a: entries.append(real(*a)) or entries[-1])
-        machines.pair_sum(df.where("src = 'left'"), df.where("src = 'right'"), ["k"], ["o"], "ts", "value", TIMEOUT).collect()
-        states = entries[0].collect()
-        assert len(states) >= 600 / small_slices / 3 and all(r.entry for r in states)
-        assert sum(r.last for r in states) == 1
-    finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-    assert seen.value == 0
+    got = machines.pair_sum(df.where("src = 'left'"), df.where("src = 'right'"), ["k"], ["o"], "ts", "value", TIMEOUT)
+    assert rows(got, "k", "at_ms", "kind", "total") == simulate_pairs(data, clears=True, adds=False)
+    data = [(o, k, ms, src, float(o // 3)) for o, k, ms, src, _ in data]
+    assert rows(machines.rising_alert(frame(spark, data), ["k"], ["o"], "ts", "value", TIMEOUT), "k", "at_ms", "value") == simulate_rising(data)
+
+
+def test_no_task_runs_the_whole_key(spark, small_slices, monkeypatch):
+    df = frame(spark, restless("random"))
+    entries = []
+    real = machines._entries
+    monkeypatch.setattr(machines, "_entries", lambda *a: entries.append(real(*a)) or entries[-1])
+    machines.pair_sum(df.where("src = 'left'"), df.where("src = 'right'"), ["k"], ["o"], "ts", "value", TIMEOUT).collect()
+    states = entries[0].collect()
+    assert len(states) >= 600 / small_slices / 2 and all(r.entry for r in states)
+    assert sum(r.last for r in states) == 1
 
 
 def test_summaries_tell_every_entry_state():

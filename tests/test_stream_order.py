@@ -34,10 +34,10 @@ def few_partitions(spark):
 
 @pytest.fixture(scope="module")
 def shuffled(spark, tmp_path_factory):
-    """Rows a second or so apart, each up to 29 seconds late, in 8 files, then one row that ends all waiting."""
+    """Rows a second or so apart, each up to 29 seconds late, in 6 files, then one row that ends all waiting."""
     rng = random.Random(11)
     made, at = [], 0.0
-    for o in range(400):
+    for o in range(300):
         at += rng.choice([0, 0, 0.0005, 0.5, 1, 2, 9])
         made.append((rng.randrange(3), o, rng.choice(["go", "end", "fail", "ok", None]), rng.choice([1.0, 2.0, 3.0, None]), f"10.0.0.{rng.randrange(3)}", at))
     arrival = sorted(made, key=lambda r: r[5] + rng.uniform(0, 29))
@@ -47,7 +47,7 @@ def shuffled(spark, tmp_path_factory):
         plain = spark.createDataFrame([(*r[:5], float(r[5])) for r in part], "k int, o int, w string, v double, ip string, s double")
         return plain.withColumn("ts", F.timestamp_micros(F.round(F.col("s") * 1_000_000).cast("long") + EPOCH * 1_000_000)).drop("s")
 
-    for i in range(0, 400, 50):
+    for i in range(0, 300, 50):
         frame(arrival[i : i + 50]).coalesce(1).write.mode("append").parquet(folder)
     late = (9, 10_000, "flush", 0.0, "x", 10.0**7)
     for _ in range(2):
