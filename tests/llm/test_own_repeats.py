@@ -6,6 +6,8 @@ import numpy as np
 import pytest
 
 from brooklet.llm import repeats
+from brooklet.llm.queries import QUERIES
+from tests.conftest import DATA
 from tests.llm.test_dedup import words_of
 
 
@@ -47,6 +49,12 @@ def test_repeats_of_one_document(spark, hot):
     assert any(own for _, _, own in got)
 
 
+def test_query_against_brute_force(spark):
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()]
+    got = sorted((r.doc_id, r.n_repeated, sorted({w for s in r.own_spans for w in range(s.start, s.end)})) for r in QUERIES["op7_repeats"](spark, DATA).collect())
+    assert got == brute_own(docs, 50)
+
+
 def test_runs_agree_with_plain_comparison():
     rng = np.random.default_rng(3)
     h = rng.integers(0, 3, 50).astype(np.uint64)
