@@ -269,14 +269,16 @@ def _rest(rows: DataFrame, members: DataFrame, sigs: DataFrame, labels: DataFram
                 many = items.take(pa.array(some))
                 flat, begins, sizes = many.flatten().to_numpy(), many.offsets.to_numpy()[:-1] - many.offsets[0].as_py(), many.value_lengths().to_numpy()
                 vocabulary, codes = np.unique(flat, return_inverse=True)
-                mine = (y >= some[0]) & (y <= some[-1])
-                for row in np.unique(x[mine]).tolist():
+                mine = np.flatnonzero((y >= some[0]) & (y <= some[-1]))
+                mine = mine[np.argsort(x[mine], kind="stable")]
+                heads = np.flatnonzero(np.diff(x[mine], prepend=-1))
+                for first, last in zip(heads.tolist(), [*heads[1:].tolist(), len(mine)]):
+                    row, partners = int(x[mine[first]]), y[mine[first:last]]
                     own = items[row].values.to_numpy()
                     there_ = np.minimum(np.searchsorted(vocabulary, own), len(vocabulary) - 1)
                     marked = np.zeros(len(vocabulary), dtype=np.int64)
                     marked[there_[vocabulary[there_] == own]] = 1
                     inter = np.add.reduceat(marked[codes], begins)
-                    partners = y[mine & (x == row)]
                     for partner, n in zip(partners.tolist(), np.searchsorted(some, partners).tolist()):
                         if 100 * inter[n] >= how.percent * (len(own) + sizes[n] - inter[n]):
                             a, b = root(label[row]), root(label[partner])
