@@ -30,6 +30,7 @@ from brooklet.session import saved
 
 
 BLOCK_ITEMS = 2_000_000  # shingles of the sets that are compared at a time
+LEAST_HUB, HOT_HUBS = 500, 100_000  # edges of an id that is told to all tasks; how many such ids, about
 
 
 @dataclass(frozen=True)
@@ -164,23 +165,35 @@ def _verify(rows: DataFrame, pairs: DataFrame, how: MinHash) -> DataFrame:
     return both.where(100 * F.col("inter") >= how.percent * F.col("union")).select("a", "b")
 
 
+def _told(edges: DataFrame, least: DataFrame, most: int) -> DataFrame:
+    """``edges`` with the ``m`` of their ``u`` in ``least(u, m, n)``. The edges of a hub, a ``u`` with over ``most``, are not
+    gathered: all tasks are told its ``m``."""
+    hubs = F.broadcast(least.where(F.col("n") > most).drop("n"))
+    rest = edges.join(hubs.select("u"), "u", "left_anti").join(least.where(F.col("n") <= most).drop("n"), "u")
+    return edges.join(hubs, "u").unionByName(rest)
+
+
 def components(links: DataFrame) -> DataFrame:
     """``id, label`` for every id in ``links(a, b)``: the label is the smallest id connected to it.
 
     Large-star and small-star steps alternate until every link leads to the smallest id of its component. Each
-    step is an aggregation of a minimum, merged before the shuffle, and a join that Spark can split.
+    step is an aggregation of a minimum, merged before the shuffle, and a join. The middle of a star has as many edges
+    as its family has members; there are at most ``2 * HOT_HUBS`` such hubs, and their edges stay where they are.
     """
     edges = saved(links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "near-edges")
-    while not edges.isEmpty():
+    size = edges.count()
+    while size:
+        most = max(LEAST_HUB, size // HOT_HUBS)
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        joined = large.join(least, "u")
+        least = saved(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")).withColumn("m", F.least("u", "m")), "near-least")
+        large = saved(_told(both, least, most).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "near-large")
+        least = saved(large.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n")), "near-least")
+        joined = _told(large, least, most)
         small = saved(joined.select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v")).distinct(), "near-edges")
-        changed = small.join(edges, ["u", "v"], "left_anti").isEmpty() and edges.join(small, ["u", "v"], "left_anti").isEmpty()
+        before, size = size, small.count()
+        same = before == size and edges.join(small, ["u", "v"], "left_anti").isEmpty()
         edges = small
-        if changed:
+        if same:
             break
     return edges.select(F.col("u").alias("id"), F.col("v").alias("label")).union(edges.select(F.col("v").alias("id"), F.col("v").alias("label"))).distinct()
 
